@@ -14,8 +14,8 @@ def rnd(x: str) -> str:
     """Same rounding as ``queries.rounded``; NaN and infinity count as NULL."""
     safe = f"(case when isfinite({x}) then {x} end)"
     return (
-        f"(case when abs({safe}) >= 1e6 then round({safe}, 0) when abs({safe}) >= 1e3 then round({safe}, 2)"
-        f" else round({safe}, 6) end + 0.0)"
+        f"(case when abs({safe}) >= 1e6 then floor({safe} + 0.4877e0) when abs({safe}) >= 1e3"
+        f" then floor({safe} * 1e2 + 0.4877e0) / 1e2 else floor({safe} * 1e6 + 0.4877e0) / 1e6 end + 0.0e0)"
     )
 
 
@@ -294,7 +294,7 @@ WORK = cte(
         and not has_transforms and coalesce(quality, 1) >= 0.5
       union all select 'max_resolution', internal_id, null, null, null from registry
         where state not in {DORMANT} and max_res is null and internal_id not in ('{ONE}', '{AREA}')
-          and exists (select from raxis where numerator_uuid = internal_id)
+          and exists (select 1 from raxis where numerator_uuid = internal_id)
       union all select 'correlations', {_PAIR} from open_pairs"""
 )
 WITH_WORK = f"{WITH_REGISTRY}, {OPEN_PAIRS}, {WORK}"
@@ -303,17 +303,17 @@ PUBLISH = cte(
     switched=f"""select *, case when state not in {DORMANT} and internal_id not in (select internal_id from busy)
           and external_id in (select external_id from registry where state = 'NEW'
             and internal_id not in (select internal_id from busy)
-            and exists (select from raxis where numerator_uuid = internal_id))
+            and exists (select 1 from raxis where numerator_uuid = internal_id))
         then case state when 'READY' then 'OUTDATED' else 'READY' end else state end as new_state from registry""",
     settled="""select *, case when new_state = 'READY' and row_number() over (partition by external_id, new_state
           order by date desc nulls first, internal_id) > 1 then 'OUTDATED' else new_state end as final
         from switched""",
 )
 MIRRORED = cte(
-    both=f"""select correlation, {_PAIR} from known union
+    mirrored=f"""select correlation, {_PAIR} from known union
       select correlation, y_numerator_id, y_denominator_id, x_numerator_id, x_denominator_id from known""",
     scored=f"""select correlation, 1 - ((1 - x.quality) * (1 - y.quality)) as quality, {_PAIR}
-      from both join raxis x on x.numerator_uuid = x_numerator_id and x.denominator_uuid = x_denominator_id
+      from mirrored join raxis x on x.numerator_uuid = x_numerator_id and x.denominator_uuid = x_denominator_id
       join raxis y on y.numerator_uuid = y_numerator_id and y.denominator_uuid = y_denominator_id""",
 )
 LATTICE = cte(lattice=fx.for_duckdb(fx.LATTICE_SQL))
@@ -323,11 +323,11 @@ EDGES = cte(
         where indicator_uuid not in ('{ONE}', '{AREA}') group by 1, 2) group by 1""",
     covered=f"""select l.indicator_uuid, kx, ky from levels l join facts f on f.indicator_uuid = l.indicator_uuid
         and {res('f.h3')} = coverage_res join lattice using (h3)""",
-    sides=f"""select indicator_uuid, kx + a.x as ax, ky + a.y as ay, kx + b.x as bx, ky + b.y as by
+    sides=f"""select indicator_uuid, kx + a.x as x1, ky + a.y as y1, kx + b.x as x2, ky + b.y as y2
       from covered cross join (values {fx.CORNERS_VALUES}) a(i, x, y)
       join (values {fx.CORNERS_VALUES}) b(i, x, y) on b.i = (a.i + 1) % 6""",
-    outline="""select indicator_uuid, ax, ay, bx, by from sides s where not exists (select from sides o
-        where o.indicator_uuid = s.indicator_uuid and o.ax = s.bx and o.ay = s.by and o.bx = s.ax and o.by = s.ay)""",
+    outline="""select indicator_uuid, x1, y1, x2, y2 from sides s where not exists (select 1 from sides o
+        where o.indicator_uuid = s.indicator_uuid and o.x1 = s.x2 and o.y1 = s.y2 and o.x2 = s.x1 and o.y2 = s.y1)""",
 )
 _DATED = "date < timestamp '" + fx.NOW + "' - interval 1 minute"
 _UPLOADS = cte(
@@ -395,11 +395,11 @@ ORACLES: dict[str, str] = {
         {_transform_ctes(f"case when m.denominator_uuid = '{ONE}' then max / 2 else min end")}
         select numerator_uuid, denominator_uuid from domain where needs_analytics""",
     "axis_candidates": f"""{WITH_REGISTRY} select * from ({axis_pairs('registry')}) c
-        where not exists (select from raxis a where a.numerator_uuid = c.numerator_uuid
+        where not exists (select 1 from raxis a where a.numerator_uuid = c.numerator_uuid
                           and a.denominator_uuid = c.denominator_uuid)""",
     "new_indicators": f"""{WITH_REGISTRY} select distinct numerator_uuid as indicator_uuid
         from ({axis_pairs('registry')}) c join registry on numerator_uuid = internal_id and state = 'NEW'
-        where not exists (select from raxis a where a.numerator_uuid = c.numerator_uuid
+        where not exists (select 1 from raxis a where a.numerator_uuid = c.numerator_uuid
                           and a.denominator_uuid = c.denominator_uuid)""",
     "correlation_candidates": f"{WITH_REGISTRY}, {OPEN_PAIRS} select {_PAIR} from open_pairs",
     "correlation_prune": f"{WITH_REGISTRY}, {OPEN_PAIRS} {pruned('open_pairs')}",
@@ -407,7 +407,7 @@ ORACLES: dict[str, str] = {
     "correlation_score": f"{WITH_REGISTRY}, {MIRRORED} select {_PAIR}, correlation, {rnds('quality')} from scored",
     "correlation_upsert": f"""{WITH_REGISTRY}, {MIRRORED}
         select {_PAIR}, correlation * 2 as correlation, {rnds('quality')} from scored
-        union all select {_PAIR}, correlation, quality from known k where not exists (select from scored s
+        union all select {_PAIR}, correlation, quality from known k where not exists (select 1 from scored s
           where s.x_numerator_id = k.x_numerator_id and s.x_denominator_id = k.x_denominator_id
             and s.y_numerator_id = k.y_numerator_id and s.y_denominator_id = k.y_denominator_id)""",
     "grid_functions": f"""with {FACTS} select h3, {res('h3')}::int as resolution,
@@ -426,7 +426,7 @@ ORACLES: dict[str, str] = {
           max(case when n <= 1000 then r end)::int as coverage_res
         from (select indicator_uuid, {res('h3')} as r, count(*) as n from facts
               where indicator_uuid not in ('{ONE}', '{AREA}') group by 1, 2) group by 1""",
-    "coverage_edges": f"with {FACTS}, {LATTICE}, {EDGES} select indicator_uuid, ax, ay, bx, by from outline",
+    "coverage_edges": f"with {FACTS}, {LATTICE}, {EDGES} select indicator_uuid, x1, y1, x2, y2 from outline",
     "coverage_outline": f"""with {FACTS}, {LATTICE}, {EDGES} select indicator_uuid, vertices, cells
         from (select indicator_uuid, count(*) as vertices from outline group by 1)
         join (select indicator_uuid, count(*) as cells from covered group by 1) using (indicator_uuid)""",

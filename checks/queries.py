@@ -23,9 +23,16 @@ _PAIR = list(schemas.PAIR_KEYS)
 
 
 def rounded(c: Column) -> Column:
-    """Round so that the order of floating-point sums does not matter."""
+    """Round so that the order of floating-point sums does not matter.
+
+    Coarser for large values, and with the boundaries moved off the decimal ties.
+    """
     size = F.abs(c)
-    return F.when(size >= 1e6, F.round(c, 0)).when(size >= 1e3, F.round(c, 2)).otherwise(F.round(c, 6)) + F.lit(0.0)
+
+    def to(scale: float) -> Column:
+        return F.floor(c * scale + 0.4877) / scale
+
+    return F.when(size >= 1e6, to(1.0)).when(size >= 1e3, to(1e2)).otherwise(to(1e6)) + F.lit(0.0)
 
 
 def _with_rounded(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
@@ -271,7 +278,8 @@ def _outline_edges(spark, d):
 
 
 def coverage_edges(spark, d):
-    micro = [F.round(F.col(c) * 1e6).cast("long").alias(c) for c in ("ax", "ay", "bx", "by")]
+    names = {"ax": "x1", "ay": "y1", "bx": "x2", "by": "y2"}
+    micro = [F.round(F.col(c) * 1e6).cast("long").alias(n) for c, n in names.items()]
     return _outline_edges(spark, d).select("indicator_uuid", *micro)
 
 

@@ -61,7 +61,7 @@ def outline_edges(facts: DataFrame, resolutions: DataFrame, cell_boundary: DataF
 
 
 def _ring_builder():
-    def rings(pdf: pd.DataFrame) -> pd.DataFrame:
+    def rings(pdf):
         following: dict = {}
         for edge in pdf.sort_values(["ax", "ay", "bx", "by"]).itertuples(index=False):
             following.setdefault((edge.ax, edge.ay), []).append((edge.bx, edge.by))

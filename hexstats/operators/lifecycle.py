@@ -322,5 +322,5 @@ def purge(
         kept,
         purge_axes(axis, metadata),
         purge_correlations(correlation, metadata),
-        without_orphans(overrides, kept).select(*overrides.columns),
+        without_orphans(overrides, kept),
     )

@@ -34,13 +34,20 @@ def apply_overrides(axis: DataFrame, overrides: DataFrame, metadata: DataFrame)
     )
 
 
-def orphaned(overrides: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Overrides one of whose logical indicators no longer exists."""
-    return overrides.exceptAll(without_orphans(overrides, metadata))
+def _known(metadata: DataFrame, name: str) -> DataFrame:
+    return metadata.select(F.col("external_id").alias(name)).distinct()
 
 
 def without_orphans(overrides: DataFrame, metadata: DataFrame) -> DataFrame:
-    known = metadata.select("external_id").distinct()
-    return overrides.join(known.toDF("numerator_id"), "numerator_id", "left_semi").join(
-        known.toDF("denominator_id"), "denominator_id", "left_semi"
+    for name in ("numerator_id", "denominator_id"):
+        overrides = overrides.join(_known(metadata, name), name, "left_semi").select(*overrides.columns)
+    return overrides
+
+
+def orphaned(overrides: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Overrides one of whose logical indicators no longer exists."""
+    no_numerator = overrides.join(_known(metadata, "numerator_id"), "numerator_id", "left_anti")
+    no_denominator = overrides.join(_known(metadata, "numerator_id"), "numerator_id", "left_semi").join(
+        _known(metadata, "denominator_id"), "denominator_id", "left_anti"
     )
+    return no_numerator.select(*overrides.columns).unionByName(no_denominator.select(*overrides.columns))
