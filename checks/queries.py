@@ -22,21 +22,20 @@ NOW = datetime.fromisoformat(fx.NOW)
 _PAIR = list(schemas.PAIR_KEYS)
 
 
-def rounded(c: Column) -> Column:
+def rounded(name: str) -> Column:
     """Round so that the order of floating-point sums does not matter.
 
     Coarser for large values, and with the boundaries moved off the decimal ties.
     """
-    size = F.abs(c)
-
-    def to(scale: float) -> Column:
-        return F.floor(c * scale + 0.4877) / scale
-
-    return F.when(size >= 1e6, to(1.0)).when(size >= 1e3, to(1e2)).otherwise(to(1e6)) + F.lit(0.0)
+    return F.expr(
+        f"case when abs({name}) >= 1e6 then floor({name} + 0.4877D)"
+        f" when abs({name}) >= 1e3 then floor({name} * 1e2 + 0.4877D) / 1e2D"
+        f" else floor({name} * 1e6 + 0.4877D) / 1e6D end + 0.0D"
+    )
 
 
 def _with_rounded(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-    return df.select(*keys, *[rounded(F.col(v)).alias(v) for v in values])
+    return df.select(*keys, *[rounded(v).alias(v) for v in values])
 
 
 # --- shared steps, built once per session -----------------------------------------------------
@@ -152,15 +151,15 @@ def downscale(spark, d):
 def histogram_points(spark, d):
     return _histogram(spark, d).select(
         *AXIS_KEYS,
-        rounded(F.col("new_mean")).alias("new_mean"),
-        rounded(F.col("new_stddev")).alias("new_stddev"),
+        rounded("new_mean").alias("new_mean"),
+        rounded("new_stddev").alias("new_stddev"),
         F.posexplode("points").alias("i", "x"),
-    ).withColumn("x", rounded(F.col("x")))
+    ).withColumn("x", rounded("x"))
 
 
 def transform_points(spark, d):
     return transform.transformed(_histogram(spark, d)).select(
-        *AXIS_KEYS, "transformation", "i", rounded(F.col("t")).alias("t"), "near_centre", "near_layer"
+        *AXIS_KEYS, "transformation", "i", rounded("t").alias("t"), "near_centre", "near_layer"
     )
 
 
@@ -189,7 +188,7 @@ def transform_result(spark, d):
         F.posexplode("transformations").alias("place", "entry"),
     ).select(
         *AXIS_KEYS, "default_transformation", "place", "entry.transformation",
-        F.size("entry.points").alias("points"), rounded(F.col("entry.skew")).alias("skew"),
+        F.size("entry.points").alias("points"), rounded("entry.skew").alias("skew"),
     )
 
 
@@ -222,14 +221,14 @@ def correlation_prune(spark, d):
 
 def axis_correlation(spark, d):
     found = correlation.correlate(fx.facts(spark, d), correlation.prune(_pairs(spark, d)), fx.IDS)
-    return found.select(*_PAIR, rounded(F.col("correlation")).alias("correlation"))
+    return found.select(*_PAIR, rounded("correlation").alias("correlation"))
 
 
 def correlation_score(spark, d):
     """Mirroring and combined quality, on the registry's known correlations."""
     results = fx.derive(spark, d, fx.REGISTRY_CORRELATION_SQL).select(*_PAIR, "correlation")
     scored = correlation.score(correlation.mirror(results), fx.registry_axis(spark, d))
-    return scored.select(*_PAIR, "correlation", rounded(F.col("quality")).alias("quality"))
+    return scored.select(*_PAIR, "correlation", rounded("quality").alias("quality"))
 
 
 def correlation_upsert(spark, d):
@@ -239,7 +238,7 @@ def correlation_upsert(spark, d):
         correlation.mirror(known.select(*_PAIR, (F.col("correlation") * 2).alias("correlation"))),
         fx.registry_axis(spark, d),
     )
-    return tables.upsert(known, fresh, _PAIR).select(*_PAIR, "correlation", rounded(F.col("quality")).alias("quality"))
+    return tables.upsert(known, fresh, _PAIR).select(*_PAIR, "correlation", rounded("quality").alias("quality"))
 
 
 # --- system indicators, coverage ----------------------------------------------------------------
@@ -252,8 +251,8 @@ def grid_functions(spark, d):
             "h3",
             grid.resolution(cell).alias("resolution"),
             grid.parent(cell).alias("parent"),
-            rounded(grid.average_area(grid.resolution(cell))).alias("average_area"),
-        )
+            grid.average_area(grid.resolution(cell)).alias("average_area"),
+        ).withColumn("average_area", rounded("average_area"))
     )
 
 
@@ -264,7 +263,7 @@ def missing_cells(spark, d):
 def system_fill(spark, d):
     missing = system.missing_cells(fx.facts(spark, d), fx.IDS)
     rows = system.system_rows(missing, fx.cell_boundary(spark, d), fx.IDS)
-    return rows.select("h3", "indicator_uuid", rounded(F.col("indicator_value")).alias("indicator_value"))
+    return rows.select("h3", "indicator_uuid", rounded("indicator_value").alias("indicator_value"))
 
 
 def max_resolution(spark, d):
