@@ -306,7 +306,7 @@ PUBLISH = cte(
             and exists (select 1 from raxis where numerator_uuid = internal_id))
         then case state when 'READY' then 'OUTDATED' else 'READY' end else state end as new_state from registry""",
     settled="""select *, case when new_state = 'READY' and row_number() over (partition by external_id, new_state
-          order by date desc nulls first, internal_id) > 1 then 'OUTDATED' else new_state end as final
+          order by date desc nulls first, internal_id desc) > 1 then 'OUTDATED' else new_state end as final
         from switched""",
 )
 MIRRORED = cte(
@@ -458,7 +458,7 @@ ORACLES: dict[str, str] = {
           final as state from settled where final <> state""",
     "latest_ready": f"""{WITH_REGISTRY} select internal_id, external_id,
           case when state = 'READY' and row_number() over (partition by external_id, state
-            order by date desc nulls first, internal_id) > 1 then 'OUTDATED' else state end as state from registry""",
+            order by date desc nulls first, internal_id desc) > 1 then 'OUTDATED' else state end as state from registry""",
     "unfinished_work": f"{WITH_WORK} select * from work",
     "indicators_with_work": f"""{WITH_WORK} select distinct i as indicator_uuid from (
           select x_num as i from work union all select x_den from work

@@ -82,20 +82,24 @@ def _pairs(spark, d):
 
 
 def _registry(spark, d):
-    return fx.derive(spark, d, fx.REGISTRY_SQL)
+    return fx.once(spark, d, "registry", lambda: stage(fx.derive(spark, d, fx.REGISTRY_SQL)))
+
+
+def _registry_axis(spark, d):
+    return fx.once(spark, d, "registry_axis", lambda: stage(fx.registry_axis(spark, d)))
 
 
 def _registry_pairs(spark, d):
     return candidates.new_correlations(
-        stage(_registry(spark, d)),
-        stage(fx.registry_axis(spark, d)),
+        _registry(spark, d),
+        _registry_axis(spark, d),
         fx.derive(spark, d, fx.REGISTRY_CORRELATION_SQL),
     )
 
 
 def _registry_work(spark, d):
     return lifecycle.unfinished_work(
-        _registry(spark, d), fx.registry_axis(spark, d), _registry_pairs(spark, d), fx.IDS
+        _registry(spark, d), _registry_axis(spark, d), _registry_pairs(spark, d), fx.IDS
     )
 
 
@@ -204,7 +208,7 @@ def transform_repair(spark, d):
 
 
 def axis_candidates(spark, d):
-    return candidates.new_axes(stage(_registry(spark, d)), fx.registry_axis(spark, d))
+    return candidates.new_axes(_registry(spark, d), _registry_axis(spark, d))
 
 
 def new_indicators(spark, d):
@@ -227,7 +231,7 @@ def axis_correlation(spark, d):
 def correlation_score(spark, d):
     """Mirroring and combined quality, on the registry's known correlations."""
     results = fx.derive(spark, d, fx.REGISTRY_CORRELATION_SQL).select(*_PAIR, "correlation")
-    scored = correlation.score(correlation.mirror(results), fx.registry_axis(spark, d))
+    scored = correlation.score(correlation.mirror(results), _registry_axis(spark, d))
     return scored.select(*_PAIR, "correlation", rounded("quality").alias("quality"))
 
 
@@ -236,7 +240,7 @@ def correlation_upsert(spark, d):
     known = fx.derive(spark, d, fx.REGISTRY_CORRELATION_SQL)
     fresh = correlation.score(
         correlation.mirror(known.select(*_PAIR, (F.col("correlation") * 2).alias("correlation"))),
-        fx.registry_axis(spark, d),
+        _registry_axis(spark, d),
     )
     return tables.upsert(known, fresh, _PAIR).select(*_PAIR, "correlation", rounded("quality").alias("quality"))
 
@@ -361,7 +365,7 @@ def ingest_states(spark, d):
 
 
 def publish_states(spark, d):
-    registry, axis = _registry(spark, d), fx.registry_axis(spark, d)
+    registry, axis = _registry(spark, d), _registry_axis(spark, d)
     done = lifecycle.publish(registry, axis, _registry_work(spark, d))
     return lifecycle.changed_states(registry, done)
 
@@ -384,7 +388,7 @@ def important_work(spark, d):
 
 def axis_overrides(spark, d):
     done = overrides.apply_overrides(
-        fx.registry_axis(spark, d), fx.derive(spark, d, fx.REGISTRY_OVERRIDES_SQL), _registry(spark, d)
+        _registry_axis(spark, d), fx.derive(spark, d, fx.REGISTRY_OVERRIDES_SQL), _registry(spark, d)
     )
     return done.select(*AXIS_KEYS, "min", "max", "p25", "p75", "label", "min_label")
 
@@ -401,7 +405,7 @@ def purge_facts(spark, d):
 
 
 def purge_axes(spark, d):
-    return lifecycle.purge_axes(fx.registry_axis(spark, d), _registry(spark, d)).select(*AXIS_KEYS)
+    return lifecycle.purge_axes(_registry_axis(spark, d), _registry(spark, d)).select(*AXIS_KEYS)
 
 
 def purge_correlations(spark, d):

@@ -11,17 +11,16 @@ def ratio(num: Column, den: Column) -> Column:
     return num / F.nullif(den, F.lit(0.0))
 
 
-def spread(low: Column, high: Column) -> Column:
+def spread(low: str, high: str) -> Column:
     """log10 of the ratio between two extremes; zero or NULL extremes give NULL.
 
     Extremes of different sign have no ratio: their distance relative to the smaller of the
     two magnitudes is used.
     """
-    lo = F.nullif(low, F.lit(0.0))
-    hi = F.nullif(high, F.lit(0.0))
-    same_sign = (hi / lo) > 0
-    return F.when(same_sign, F.log10(hi / lo)).when(
-        ~same_sign, F.log10((hi - lo) / F.least(F.abs(lo), F.abs(hi)))
+    lo, hi = f"nullif({low}, 0D)", f"nullif({high}, 0D)"
+    return F.expr(
+        f"case when {hi} / {lo} > 0 then log10({hi} / {lo})"
+        f" when {hi} / {lo} < 0 then log10(({hi} - {lo}) / least(abs({lo}), abs({hi}))) end"
     )
 
 

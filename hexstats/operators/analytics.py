@@ -11,6 +11,7 @@ from hexstats.functions import grid
 from hexstats.functions.measures import spread
 from hexstats.operators import quantiles
 from hexstats.operators.axis_values import AXIS_KEYS, axis_values, number_axes, without_system_numerators
+from hexstats.operators.overrides import with_external_ids
 from hexstats.schemas import SystemIds
 from hexstats.sources.staging import stage
 from hexstats.sources.tables import update_columns
@@ -23,15 +24,10 @@ _STAT_KEYS = ("sum", "min", "max", "mean", "stddev", "p33", "p50", "p66")
 
 
 def fully_overridden(axes: DataFrame, overrides: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Axes whose min, p25, p75 and max are all set by hand, matched by external id."""
-    external = metadata.select("internal_id", "external_id")
-    complete = overrides.filter(
-        F.col("min").isNotNull() & F.col("p25").isNotNull() & F.col("p75").isNotNull() & F.col("max").isNotNull()
-    ).select("numerator_id", "denominator_id")
+    """Axes whose min, p25, p75 and max are all set by hand."""
+    complete = overrides.filter("min is not null and p25 is not null and p75 is not null and max is not null")
     return (
-        axes.select(*AXIS_KEYS)
-        .join(external.toDF("numerator_uuid", "numerator_id"), "numerator_uuid")
-        .join(external.toDF("denominator_uuid", "denominator_id"), "denominator_uuid")
+        with_external_ids(axes.select(*AXIS_KEYS), metadata)
         .join(complete, ["numerator_id", "denominator_id"], "left_semi")
         .select(*AXIS_KEYS)
         .distinct()
@@ -161,7 +157,7 @@ def stat_quality(stats: DataFrame) -> DataFrame:
             *AXIS_KEYS,
             "key",
             "value",
-            F.when(F.col("value").isNotNull(), spread(F.col("low"), F.col("high"))).alias("quality"),
+            F.when(F.col("value").isNotNull(), spread("low", "high")).alias("quality"),
         )
     )
 
@@ -184,7 +180,7 @@ def analytics(stats: DataFrame) -> DataFrame:
         value = F.col(f"{name}_value")
         columns += [
             value,
-            F.when(value.isNotNull(), spread(F.col(f"{name}_low"), F.col(f"{name}_high"))).alias(f"{name}_quality"),
+            F.when(value.isNotNull(), spread(f"{name}_low", f"{name}_high")).alias(f"{name}_quality"),
         ]
     for source, target in (
         ("mean", "mean_all_res"), ("stddev", "stddev_all_res"),

@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hexstats import schemas
@@ -13,7 +12,7 @@ from hexstats.operators.axis_values import AXIS_KEYS, without_system_numerators
 from hexstats.operators.overrides import without_orphans
 from hexstats.operators.transform import MIN_QUALITY
 from hexstats.schemas import PAIR_KEYS, SystemIds
-from hexstats.sources.tables import active, is_active
+from hexstats.sources.tables import active
 
 # Fixed value: prefix of the table names uploads arrive under.
 UPLOAD_PREFIX = "tmp_stat_h3_"
@@ -108,12 +107,17 @@ def previous_versions(metadata: DataFrame, new: DataFrame | None = None) -> Data
     checked = metadata.join(new, "internal_id", "left_semi").select(
         "internal_id", "external_id", F.col("date").alias("upload_date")
     )
-    earlier = active(metadata).select("external_id", F.col("internal_id").alias("previous_id"), "date")
+    # the oldest live version of all is the one sought, if it is older than the new one
+    oldest = (
+        active(metadata)
+        .filter(F.col("date").isNotNull())
+        .groupBy("external_id")
+        .agg(F.min(F.struct("date", F.col("internal_id").alias("id"))).alias("oldest"))
+    )
     return (
-        checked.join(earlier, "external_id")
-        .filter((F.col("internal_id") != F.col("previous_id")) & (F.col("date") < F.col("upload_date")))
-        .groupBy("internal_id")
-        .agg(F.min(F.struct("date", "previous_id"))["previous_id"].alias("previous_id"))
+        checked.join(oldest, "external_id")
+        .filter(F.col("oldest.date") < F.col("upload_date"))
+        .select("internal_id", F.col("oldest.id").alias("previous_id"))
     )
 
 
@@ -232,14 +236,14 @@ def publishable(metadata: DataFrame, axis: DataFrame, unfinished: DataFrame) ->
 
 def newest_ready_only(metadata: DataFrame) -> DataFrame:
     """Of several READY versions keep the newest; a version without a date counts as newest."""
-    newest_first = W.partitionBy("external_id").orderBy(F.col("date").desc_nulls_first(), F.col("internal_id"))
-    ready = (
-        metadata.filter(F.col("state") == schemas.READY)
-        .withColumn("place", F.row_number().over(newest_first))
-        .filter("place > 1")
-        .select("internal_id", F.lit(schemas.OUTDATED).alias("new_state"))
+    ready = metadata.filter(F.col("state") == schemas.READY)
+    newest = ready.groupBy("external_id").agg(
+        F.max(F.struct(F.col("date").isNull().alias("undated"), "date", "internal_id"))["internal_id"].alias(
+            "internal_id"
+        )
     )
-    return set_state(metadata, ready)
+    superseded = ready.join(newest.select("internal_id"), "internal_id", "left_anti")
+    return set_state(metadata, superseded.select("internal_id", F.lit(schemas.OUTDATED).alias("new_state")))
 
 
 def publish(metadata: DataFrame, axis: DataFrame, unfinished: DataFrame) -> DataFrame:

@@ -9,21 +9,24 @@ from hexstats.operators.axis_values import AXIS_KEYS
 from hexstats.schemas import OVERRIDE_FIELDS
 
 
-def by_version(overrides: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Overrides name logical indicators; give every pair of their versions its own row."""
+def with_external_ids(axes: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Axes of known indicators with the logical indicators they belong to."""
     external = metadata.select("internal_id", "external_id")
-    return (
-        overrides.join(external.toDF("numerator_uuid", "numerator_id"), "numerator_id")
-        .join(external.toDF("denominator_uuid", "denominator_id"), "denominator_id")
-        .select(*AXIS_KEYS, *OVERRIDE_FIELDS)
-        .dropDuplicates(AXIS_KEYS)
+    return axes.join(external.toDF("numerator_uuid", "numerator_id"), "numerator_uuid").join(
+        external.toDF("denominator_uuid", "denominator_id"), "denominator_uuid"
     )
 
 
 def apply_overrides(axis: DataFrame, overrides: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Replace the fields an override sets, keep the others."""
-    given = by_version(overrides, metadata).select(
-        *AXIS_KEYS, *[F.col(f).alias(f"_set_{f}") for f in OVERRIDE_FIELDS]
+    """Replace the fields an override sets, keep the others.
+
+    Overrides name logical indicators, so all versions of one receive them.
+    """
+    logical = ["numerator_id", "denominator_id"]
+    given = (
+        with_external_ids(axis.select(*AXIS_KEYS), metadata)
+        .join(overrides.dropDuplicates(logical), logical)
+        .select(*AXIS_KEYS, *[F.col(f).alias(f"_set_{f}") for f in OVERRIDE_FIELDS])
     )
     joined = axis.join(given, AXIS_KEYS, "left")
     return joined.select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from hexstats import schemas
 
@@ -28,7 +29,7 @@ def write_facts(facts: DataFrame, path: str, mode: str = "append", partitions: i
 
 def read_uploads(spark: SparkSession, path: str) -> DataFrame:
     """Staged uploads, laid out as ``<path>/upload_id=<id>/*.parquet``."""
-    layout = schemas.FACTS.add("upload_id", "string") if "upload_id" not in schemas.FACTS.names else schemas.FACTS
+    layout = StructType([*schemas.FACTS.fields, StructField("upload_id", StringType())])
     return spark.read.schema(layout).parquet(path)
 
 
@@ -38,6 +39,28 @@ def upload_tables(spark: SparkSession, database: str | None = None) -> DataFrame
     return spark.sql(f"SHOW TABLES{where}").select(F.col("tableName").alias("table_name"))
 
 
+def drop_indicators(spark: SparkSession, table: str, ids: DataFrame) -> None:
+    """Remove indicators from a catalogued fact table by dropping their partitions.
+
+    Costs as much as the number of removed indicators, whatever the size of the table.
+    """
+    for row in ids.select("internal_id").distinct().toLocalIterator():
+        spark.sql(
+            f"ALTER TABLE {table} DROP IF EXISTS PARTITION (indicator_uuid = '{row['internal_id']}')"
+        )
+
+
+def nested_as_json(table: DataFrame) -> DataFrame:
+    """Write nested columns as JSON text, for sinks without nested types."""
+    nested = ("array", "struct", "map")
+    return table.select(
+        *[
+            F.to_json(F.col(f.name)).alias(f.name) if f.dataType.typeName() in nested else F.col(f.name)
+            for f in table.schema.fields
+        ]
+    )
+
+
 def upsert(table: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``changes`` replace rows of ``table`` with the same keys, or are added."""
     kept = table.join(changes.select(*keys), keys, "left_anti")

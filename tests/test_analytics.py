@@ -1,7 +1,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from hexstats import schemas
 from hexstats.functions.measures import spread
@@ -21,7 +20,7 @@ def _stats(spark, rows, pairs, overrides=None, meta=None, ids=IDS):
 )
 def test_spread(spark, low, high, expected):
     df = spark.createDataFrame([(low, high)], "low double, high double")
-    found = df.select(spread(F.col("low"), F.col("high"))).first()[0]
+    found = df.select(spread("low", "high")).first()[0]
     assert found is None if expected is None else found == pytest.approx(expected)
 
 

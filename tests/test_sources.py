@@ -43,3 +43,16 @@ def test_stage_cuts_the_lineage(spark):
     staged = staging.stage(spark.range(5).withColumn("x", F.col("id") * 2))
     assert "Range" not in staged._jdf.queryExecution().executedPlan().toString()
     assert staged.agg(F.sum("x")).first()[0] == 20
+
+
+def test_dropped_indicators_leave_the_table(spark):
+    spark.sql("drop table if exists fact_table")
+    facts(spark, [(1, A, 1), (2, A, 1), (1, B, 1)]).write.partitionBy("indicator_uuid").saveAsTable("fact_table")
+    tables.drop_indicators(spark, "fact_table", spark.createDataFrame([(A,), ("unknown",)], "internal_id string"))
+    assert [r.indicator_uuid for r in spark.table("fact_table").collect()] == [B]
+    spark.sql("drop table fact_table")
+
+
+def test_nested_columns_become_json(spark):
+    df = spark.createDataFrame([(1, [1.0, 2.0])], "k int, points array<double>")
+    assert tuple(tables.nested_as_json(df).first()) == (1, "[1.0,2.0]")
