@@ -35,6 +35,21 @@ def without_system_numerators(axes: DataFrame, ids: SystemIds) -> DataFrame:
     return axes.filter(~F.col("numerator_uuid").isin(*ids.constants))
 
 
+def listed(axes: DataFrame, column: str, without: tuple[str, ...] = ()) -> DataFrame:
+    """The distinct indicators of a column, as a join partner of the facts.
+
+    The comparison holds for every id. It marks the list as selective, which is what makes the
+    planner prune the folders of all other indicators when it broadcasts the list. Ids to leave
+    out are joined away: a plain filter would be copied to the facts and end the pruning.
+    """
+    found = axes.select(F.col(column).alias("indicator_uuid")).filter(F.col("indicator_uuid") > "").distinct()
+    if without:
+        rows = ", ".join(f"('{i}')" for i in without)
+        excluded = axes.sparkSession.sql(f"select * from values {rows} as t(indicator_uuid)")
+        found = found.join(excluded, "indicator_uuid", "left_anti")
+    return found
+
+
 def axis_values(
     facts: DataFrame,
     axes: DataFrame,
@@ -54,32 +69,24 @@ def axis_values(
     happens after the join.
     """
     constants = [i for i, use in ((ids.one, literal_one), (ids.area, average_area)) if use]
-    stored = axes.select(F.col("denominator_uuid").alias("indicator_uuid")).distinct()
-    if constants:
-        stored = stored.filter(~F.col("indicator_uuid").isin(*constants))
-    stored = stored.withColumn("is_denominator", F.lit(True))
-    is_population = F.col("indicator_uuid") == F.lit(population)
+    stored = listed(axes, "denominator_uuid", without=tuple(constants))
+    denominator = F.struct(
+        F.col("indicator_uuid").alias("denominator_uuid"), F.col("indicator_value").alias("value")
+    )
+    base = facts.join(stored, "indicator_uuid", "left_semi").select(
+        "h3", denominator.alias("denominator"), F.lit(False).alias("populated")
+    )
     if population is not None:
-        marker = facts.sparkSession.range(1).select(
-            F.lit(population).alias("indicator_uuid"), F.lit(False).alias("is_denominator")
+        populated = facts.filter(
+            (F.col("indicator_uuid") == population) & F.col("indicator_value").isNotNull()
         )
-        stored = stored.unionByName(marker).groupBy("indicator_uuid").agg(
-            F.max("is_denominator").alias("is_denominator")
+        base = base.unionByName(
+            populated.select("h3", F.lit(True).alias("populated")), allowMissingColumns=True
         )
-    base = facts.join(stored, "indicator_uuid")
     cell_denominators = base.groupBy("h3").agg(
-        F.collect_list(
-            F.when(
-                F.col("is_denominator"),
-                F.struct(
-                    F.col("indicator_uuid").alias("denominator_uuid"),
-                    F.col("indicator_value").alias("value"),
-                ),
-            )
-        ).alias("stored"),
-        F.max(is_population & F.col("indicator_value").isNotNull()).alias("has_population"),
+        F.collect_list("denominator").alias("stored"), F.bool_or("populated").alias("has_population")
     )
-    numerators = axes.select(F.col("numerator_uuid").alias("indicator_uuid")).distinct()
+    numerators = listed(axes, "numerator_uuid")
     cells = (
         facts.join(numerators, "indicator_uuid", "left_semi")
         .withColumnRenamed("indicator_uuid", "numerator_uuid")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hexstats import schemas
-from hexstats.operators.axis_values import AXIS_KEYS, without_system_numerators
+from hexstats.operators.axis_values import AXIS_KEYS, listed, without_system_numerators
 from hexstats.operators.overrides import without_orphans
 from hexstats.operators.transform import MIN_QUALITY
 from hexstats.schemas import PAIR_KEYS, SystemIds
@@ -126,11 +126,15 @@ def drift(facts: DataFrame, versions: DataFrame) -> DataFrame:
 
     ``discard`` marks versions that repeat the previous one.
     """
-    a = facts.join(versions.withColumnRenamed("internal_id", "indicator_uuid"), "indicator_uuid").select(
+    new = listed(versions, "internal_id")
+    old = versions.select("internal_id", F.col("previous_id").alias("indicator_uuid"))
+    a = facts.join(new, "indicator_uuid", "left_semi").select(
         F.col("indicator_uuid").alias("internal_id"), "h3", F.col("indicator_value").alias("a")
     )
-    b = facts.join(versions.withColumnRenamed("previous_id", "indicator_uuid"), "indicator_uuid").select(
-        "internal_id", "h3", F.col("indicator_value").alias("b")
+    b = (
+        facts.join(listed(versions, "previous_id"), "indicator_uuid", "left_semi")
+        .join(old, "indicator_uuid")
+        .select("internal_id", "h3", F.col("indicator_value").alias("b"))
     )
     nonzero = F.nullif(F.col("b"), F.lit(0.0))
     compared = (

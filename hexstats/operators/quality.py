@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from hexstats import schemas
 from hexstats.functions import grid
 from hexstats.functions.measures import ratio, relative_error
-from hexstats.operators.axis_values import AXIS_KEYS, without_system_numerators
+from hexstats.operators.axis_values import AXIS_KEYS, listed, without_system_numerators
 from hexstats.schemas import SystemIds
+from hexstats.sources.staging import stage
 
 # Children of resolution 1 to 5 are compared with their parents.
 FIRST_CHILD_RES, LAST_CHILD_RES = 1, 5
@@ -55,10 +56,12 @@ def axis_quality(facts: DataFrame, axes: DataFrame, ids: SystemIds) -> DataFrame
     its own is the one that counts. A user denominator also has to cover the numerator's cells.
     """
     axes = without_system_numerators(axes, ids).select(*AXIS_KEYS).distinct()
-    profiles = _cell_profiles(facts)
+    named = listed(axes, "numerator_uuid").unionByName(listed(axes, "denominator_uuid")).distinct()
+    # a fraction of the facts: coarse cells only, and one row for seven children
+    profiles = stage(_cell_profiles(facts.join(named, "indicator_uuid", "left_semi")))
     numerators = (
         profiles.filter("has_row and has_children")
-        .join(axes.select(F.col("numerator_uuid").alias("indicator_uuid")).distinct(), "indicator_uuid", "left_semi")
+        .join(listed(axes, "numerator_uuid"), "indicator_uuid", "left_semi")
         .withColumnRenamed("indicator_uuid", "numerator_uuid")
         .withColumn("res", grid.resolution(F.col("cell")))
     )
@@ -77,11 +80,9 @@ def axis_quality(facts: DataFrame, axes: DataFrame, ids: SystemIds) -> DataFrame
         F.count_if(user_only).alias("user_cells"),
     )
 
-    users = axes.filter(~F.col("denominator_uuid").isin(*ids.constants)).select(
-        F.col("denominator_uuid").alias("indicator_uuid")
-    )
+    users = listed(axes, "denominator_uuid", without=ids.constants)
     cell_denominators = (
-        profiles.join(users.distinct(), "indicator_uuid", "left_semi")
+        profiles.join(users, "indicator_uuid", "left_semi")
         .groupBy("cell")
         .agg(
             F.collect_list(

@@ -3,8 +3,9 @@ import glob
 from pyspark.sql import functions as F
 
 from hexstats import schemas
+from hexstats.operators.axis_values import axis_values, number_axes
 from hexstats.sources import staging, tables
-from tests.cells import A, B, cell, facts
+from tests.cells import A, B, C, IDS, P, axes, cell, facts
 
 
 def test_facts_round_trip_prunes_by_indicator_and_cell(spark, tmp_path):
@@ -45,6 +46,18 @@ def test_stage_cuts_the_lineage(spark):
     assert staged.agg(F.sum("x")).first()[0] == 20
 
 
+def test_axis_values_read_only_the_indicators_of_the_axes(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    tables.write_facts(facts(spark, [(cell(8, 1), i, 1) for i in (A, B, C, P)]), path, partitions=2)
+    numbered = staging.stage(number_axes(axes(spark, (A, B), (A, schemas.ONE_ID))))
+    values = axis_values(
+        tables.read_facts(spark, path), numbered, IDS, literal_one=True, average_area=False, population=P
+    )
+    plan = values._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("dynamicpruning#") == 2
+    assert {(r.m, r.has_population) for r in values.collect()} == {(1.0, True)} and values.count() == 2
+
+
 def test_dropped_indicators_leave_the_table(spark):
     spark.sql("drop table if exists fact_table")
     facts(spark, [(1, A, 1), (2, A, 1), (1, B, 1)]).write.partitionBy("indicator_uuid").saveAsTable("fact_table")
