@@ -235,7 +235,8 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact table, in its on-disk layout."""
 
     def build() -> DataFrame:
-        path = f"{shared_folder(spark).rstrip('/')}/facts-{abs(hash(sf_dir))}-{spark.sparkContext.applicationId}"
+        application = spark.sparkContext.applicationId
+        path = f"{shared_folder(spark).rstrip('/')}/hexstats-{application}/facts-{sf_dir.strip('/').replace('/', '-')}"
         write_facts(derive(spark, sf_dir, FACTS_SQL), path, mode="overwrite")
         return read_facts(spark, path)
 

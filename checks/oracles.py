@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from checks import fixture as fx
 from hexstats import schemas
-from hexstats.functions.grid import AVG_AREA_KM2, MERCATOR_RADIUS_M
+from hexstats.functions.grid import AUTHALIC_RADIUS_KM, AVG_AREA_KM2, ECCENTRICITY_SQ, MERCATOR_RADIUS_M
 
+_E2 = f"{ECCENTRICITY_SQ!r}::double"
 ONE, AREA, POP = fx.ONE, fx.AREA, fx.POPULATION
 _PAIR = ", ".join(schemas.PAIR_KEYS)
 
@@ -88,6 +89,21 @@ STATS = cte(
       group by grouping sets ((numerator_uuid, denominator_uuid, overridden, r),
                               (numerator_uuid, denominator_uuid, overridden))""",
 )
+
+def _axis_values(value: str, condition: str) -> str:
+    return f"""select a.numerator_uuid, a.denominator_uuid, n.h3, {value} as m, p.h3 is not null as has_population
+      from axes a join facts n on n.indicator_uuid = a.numerator_uuid
+      left join facts d on d.indicator_uuid = a.denominator_uuid and d.h3 = n.h3
+      left join facts p on p.indicator_uuid = '{POP}' and p.h3 = n.h3 where {condition}"""
+
+
+def _values_query(value: str, condition: str, columns: str = "") -> str:
+    return f"""with {FACTS}, {META}, {AXES}, v as ({_axis_values(value, condition)})
+      select numerator_uuid, denominator_uuid, h3, {rnds('m')}{columns} from v where m is not null"""
+
+
+_LITERAL_ONE = f"when '{ONE}' then n.indicator_value"
+_PER_CELL = "n.indicator_value / nullif(d.indicator_value, 0)"
 WITH_STATS = f"with {FACTS}, {META}, {AXES}, {STATS}"
 
 
@@ -363,6 +379,16 @@ def _round4(*columns: str) -> str:
 
 
 ORACLES: dict[str, str] = {
+    "axis_values_analytics": _values_query(
+        f"case a.denominator_uuid {_LITERAL_ONE} else {_PER_CELL} end",
+        f"a.denominator_uuid = '{ONE}' or d.h3 is not null", ", has_population",
+    ),
+    "axis_values_stored": _values_query(_PER_CELL, "d.h3 is not null"),
+    "axis_values_correlation": _values_query(
+        f"case a.denominator_uuid {_LITERAL_ONE} when '{AREA}' then n.indicator_value / {avg_area(res('n.h3'))}"
+        f" else {_PER_CELL} end",
+        f"a.denominator_uuid in ('{ONE}', '{AREA}') or d.h3 is not null",
+    ),
     "axis_statistics": f"""{WITH_STATS} select numerator_uuid, denominator_uuid, r,
         {rnds('sum', 'min', 'max', 'mean', 'stddev')} from stats""",
     "axis_stops": f"{WITH_STATS} select numerator_uuid, denominator_uuid, r, {rnds('p33', 'p50', 'p66')} from stats",
@@ -413,6 +439,19 @@ ORACLES: dict[str, str] = {
     "grid_functions": f"""with {FACTS} select h3, {res('h3')}::int as resolution,
           case when {res('h3')} >= 1 then {parent('h3')} end as parent,
           {rnd(avg_area(res('h3')))} as average_area from (select distinct h3 from facts)""",
+    "cell_area": f"""with {LATTICE},
+        corners as (select h3, i, radians((kx + x) * 1e-6) as lam, radians((ky + y) * 1e-6) as phi
+          from lattice cross join (values {fx.CORNERS_VALUES}) c(i, x, y)),
+        authalic as (select h3, i, lam, tan((phi
+            - sin(phi * 2) * ({_E2} / 3 + 31 * {_E2} * {_E2} / 180 + 59 * {_E2} * {_E2} * {_E2} / 560)
+            + sin(phi * 4) * (17 * {_E2} * {_E2} / 360 + 61 * {_E2} * {_E2} * {_E2} / 1260)
+            - sin(phi * 6) * (383 * {_E2} * {_E2} * {_E2} / 45360)) / 2) as t from corners)
+        select a.h3, round(abs(sum(2 * atan2(tan((b.lam - a.lam) / 2) * (a.t + b.t), 1 + a.t * b.t)))
+          * {AUTHALIC_RADIUS_KM!r} * {AUTHALIC_RADIUS_KM!r} * 1e9, 3) as area
+        from authalic a join authalic b on a.h3 = b.h3 and b.i = (a.i + 1) % 6 group by 1""",
+    "system_metadata": f"""{WITH_REGISTRY} select param_id, internal_id, external_id,
+          case when internal_id in ('{ONE}', '{AREA}') then 'NEW' else state end as state, is_base, max_res
+        from registry""",
     "missing_cells": f"""with {FACTS} select h3, bool_or(indicator_uuid = '{AREA}') as has_area from facts
         where {res('h3')} <= 8 group by h3
         having bool_or(indicator_uuid not in ('{ONE}', '{AREA}')) and not bool_or(indicator_uuid = '{ONE}')""",

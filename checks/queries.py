@@ -12,9 +12,10 @@ from checks import fixture as fx
 from hexstats import schemas
 from hexstats.functions import grid
 from hexstats.operators import (
-    analytics, candidates, correlation, coverage, lifecycle, overrides, quality, report, system, transform,
+    analytics, axis_values, candidates, correlation, coverage, lifecycle, overrides, quality, report, system,
+    transform,
 )
-from hexstats.operators.axis_values import AXIS_KEYS
+from hexstats.operators.axis_values import AXIS_KEYS, number_axes, without_system_numerators
 from hexstats.sources import tables
 from hexstats.sources.staging import stage
 
@@ -106,6 +107,24 @@ def _registry_work(spark, d):
 # --- analytics ----------------------------------------------------------------------------------
 
 
+def _values(spark, d, **rules):
+    axes = stage(number_axes(without_system_numerators(_axes(spark, d), fx.IDS)))
+    values = axis_values.axis_values(fx.facts(spark, d), axes, fx.IDS, **rules)
+    return values.join(axes, "axis_id").select(*AXIS_KEYS, "h3", rounded("m").alias("m"), "has_population")
+
+
+def axis_values_analytics(spark, d):
+    return _values(spark, d, literal_one=True, average_area=False, population=fx.POPULATION)
+
+
+def axis_values_stored(spark, d):
+    return _values(spark, d, literal_one=False, average_area=False).drop("has_population")
+
+
+def axis_values_correlation(spark, d):
+    return _values(spark, d, literal_one=True, average_area=True).drop("has_population")
+
+
 def axis_statistics(spark, d):
     return _with_rounded(
         _statistics(spark, d), [*AXIS_KEYS, "r"], ["sum", "min", "max", "mean", "stddev"]
@@ -260,6 +279,18 @@ def grid_functions(spark, d):
     )
 
 
+def cell_area(spark, d):
+    """Geodesic area measured from the boundary, in 1e-9 km2."""
+    area = grid.area_km2(F.col("boundary")) * 1e9
+    return fx.cell_boundary(spark, d).select("h3", F.round(area, 3).alias("area"))
+
+
+def system_metadata(spark, d):
+    bare = _registry(spark, d).filter(~F.col("internal_id").isin(fx.ONE, fx.AREA))
+    done, _ = system.add_system_metadata(bare, fx.OWNER, fx.IDS)
+    return done.select("param_id", "internal_id", "external_id", "state", "is_base", "max_res")
+
+
 def missing_cells(spark, d):
     return system.missing_cells(fx.facts(spark, d), fx.IDS)
 
@@ -452,10 +483,10 @@ def latest_upload(spark, d):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
-        axis_statistics, axis_stops, stat_quality, axis_analytics, downscale, histogram_points, transform_points,
+        axis_values_analytics, axis_values_stored, axis_values_correlation, axis_statistics, axis_stops, stat_quality, axis_analytics, downscale, histogram_points, transform_points,
         transform_stats, best_transform, transform_result, transform_repair, axis_candidates, new_indicators,
         correlation_candidates, correlation_prune, axis_correlation, correlation_score, correlation_upsert,
-        grid_functions, missing_cells, system_fill, max_resolution, coverage_edges, coverage_outline,
+        grid_functions, cell_area, system_metadata, missing_cells, system_fill, max_resolution, coverage_edges, coverage_outline,
         cell_geometry, drift_check, drift_discard, previous_versions, staging_discovery, ingest_dedup,
         ingest_rows, ingest_states, publish_states, latest_ready, unfinished_work, indicators_with_work,
         important_work, axis_overrides, orphan_overrides, purge_facts, purge_axes, purge_correlations,
