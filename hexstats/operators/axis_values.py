@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hexstats.functions import grid
 from hexstats.functions.measures import ratio
+from hexstats.functions.pairing import SALTS, attach
 from hexstats.schemas import SystemIds
 
 AXIS_KEYS = ["numerator_uuid", "denominator_uuid"]
@@ -50,6 +51,11 @@ def listed(axes: DataFrame, column: str, without: tuple[str, ...] = ()) -> DataF
     return found
 
 
+def share_of_cell() -> Column:
+    """One byte that spreads the rows of a hot axis over tasks once the cell is dropped."""
+    return F.pmod(F.xxhash64("h3"), F.lit(SALTS)).cast("byte")
+
+
 def axis_values(
     facts: DataFrame,
     axes: DataFrame,
@@ -59,7 +65,7 @@ def axis_values(
     average_area: bool,
     population: str | None = None,
 ) -> DataFrame:
-    """Values ``m`` of all numbered axes: (axis_id, h3, m, has_population).
+    """Values ``m`` of all numbered, staged axes: (axis_id, h3, m, has_population).
 
     The system denominators are either read from the facts like any other indicator, or taken
     as a constant (1, or the average cell area of the resolution) that needs no matching row.
@@ -107,7 +113,7 @@ def axis_values(
     if fixed:
         denominators = F.concat(denominators, F.array(*fixed))
 
-    return (
+    divided = (
         cells.withColumn("d", F.explode(denominators))
         .select(
             "h3",
@@ -117,6 +123,7 @@ def axis_values(
             F.coalesce(F.col("has_population"), F.lit(False)).alias("has_population"),
         )
         .filter(F.col("m").isNotNull())
-        .join(axes, AXIS_KEYS)
-        .select("axis_id", "h3", "m", "has_population")
+    )
+    return attach(divided, axes.select("axis_id", *AXIS_KEYS), AXIS_KEYS, F.col("h3")).select(
+        "axis_id", "h3", "m", "has_population"
     )

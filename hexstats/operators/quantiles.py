@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from hexstats.functions.pairing import attach
 from hexstats.sources.staging import stage
 
 #: counting ranges per power of two in the first pass, and per range in the later ones
@@ -60,14 +61,21 @@ def order_statistics(
     value: str,
     ranks: Callable[[Column], Column],
     counts: DataFrame | None = None,
+    spread_by: str | None = None,
     sortable_rows: int = SORTABLE_ROWS,
 ) -> DataFrame:
     """Values at 1-based ranks: (keys, n, by_rank map<rank, value>).
 
     ``ranks`` turns the row count of a group into the array of ranks wanted from it. ``values``
-    is read once per pass and must hold no NULL; ``counts`` may bring a ready first pass.
+    is read once per pass and must hold no NULL; ``counts`` may bring a ready first pass, and
+    ``spread_by`` names a column that differs between equal values, to spread them by.
     """
-    rows = values.select(*keys, F.col(value).alias("v"), log_slot(F.col(value)).alias("slot"))
+    rows = values.select(
+        *keys,
+        F.col(value).alias("v"),
+        log_slot(F.col(value)).alias("slot"),
+        F.col(spread_by or value).alias("share"),
+    )
     if counts is None:
         counts = histogram(values, keys, value)
     total = F.sum("n").over(W.partitionBy(*keys))
@@ -91,13 +99,13 @@ def order_statistics(
         ranges = unsettled.groupBy(*keys, "slot", "lo", "hi", "total").agg(
             F.collect_list(F.struct("at", "rank")).alias("wanted")
         )
-        rows = rows.join(ranges.select(*keys, "slot", "lo", "hi"), [*keys, "slot"])
+        rows = attach(rows, ranges.select(*keys, "slot", "lo", "hi"), [*keys, "slot"], F.col("share"))
         sort_now = largest <= sortable_rows
         if sort_now:
             step = F.col("v")
         else:
-            share = (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))
-            step = F.least(F.floor(share * _SPLIT), F.lit(_SPLIT - 1)).cast("long")
+            along = (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))
+            step = F.least(F.floor(along * _SPLIT), F.lit(_SPLIT - 1)).cast("long")
         finer = (
             rows.groupBy(*keys, "slot", step.alias("step"))
             .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
@@ -107,7 +115,7 @@ def order_statistics(
         if sort_now:
             settled.append(found.select(*keys, "total", "rank", F.col("lo").alias("v")))
             break
-        rows = rows.select(*keys, "v", (F.col("slot") * _SPLIT + step).alias("slot"))
+        rows = rows.select(*keys, "v", (F.col("slot") * _SPLIT + step).alias("slot"), "share")
         hits = stage(
             found.select(
                 *keys, (F.col("slot") * _SPLIT + F.col("step")).alias("slot"), "n", "lo", "hi", "at", "rank", "total"

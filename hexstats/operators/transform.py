@@ -7,8 +7,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hexstats.functions.measures import within
+from hexstats.functions.pairing import attach
 from hexstats.operators import quantiles
-from hexstats.operators.axis_values import AXIS_KEYS, axis_values, number_axes, without_system_numerators
+from hexstats.operators.axis_values import (
+    AXIS_KEYS, axis_values, number_axes, share_of_cell, without_system_numerators,
+)
 from hexstats.schemas import SystemIds
 from hexstats.sources.staging import stage
 from hexstats.sources.tables import update_columns
@@ -46,13 +49,15 @@ def histogram(facts: DataFrame, axis: DataFrame, ids: SystemIds) -> DataFrame:
     values = stage(
         axis_values(
             facts, layer.select("axis_id", *AXIS_KEYS), ids, literal_one=False, average_area=False
-        ).select("axis_id", "m")
+        ).select("axis_id", "m", share_of_cell().alias("share"))
     )
-    points = quantiles.order_statistics(values, ["axis_id"], "m", quantiles.discrete_ranks(POINTS)).select(
+    points = quantiles.order_statistics(
+        values, ["axis_id"], "m", quantiles.discrete_ranks(POINTS), spread_by="share"
+    ).select(
         "axis_id", quantiles.discrete(F.col("n"), F.col("by_rank"), POINTS).alias("points")
     )
     centre = (
-        values.join(layer.select("axis_id", "layer_mean", "layer_stddev"), "axis_id")
+        attach(values, layer.select("axis_id", "layer_mean", "layer_stddev"), ["axis_id"], F.col("share"))
         .filter(within(F.col("m"), F.col("layer_mean"), F.col("layer_stddev")))
         .groupBy("axis_id")
         .agg(F.stddev_samp("m").alias("new_stddev"), F.avg("m").alias("new_mean"))

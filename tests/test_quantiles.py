@@ -20,8 +20,9 @@ def _values(kind, n, seed):
     return [rng.gauss(0, 1) for _ in range(n)]
 
 
-@pytest.mark.parametrize("sortable", [1_000_000, 3])
-def test_exact_for_any_distribution(spark, sortable):
+@pytest.mark.parametrize("sortable, broadcast", [(1_000_000, 1_000_000), (3, 1_000_000), (3, 0)])
+def test_exact_for_any_distribution(spark, monkeypatch, sortable, broadcast):
+    monkeypatch.setattr("hexstats.functions.pairing.BROADCAST_ROWS", broadcast)
     groups = {k: _values(k, 2_003, i) for i, k in enumerate(("skewed", "narrow", "ties", "single", "normal"))}
     df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "k string, v double")
     continuous, discrete = (0.0, 0.33, 0.5, 0.66, 1.0), tuple(i / 100 for i in range(101))
