@@ -86,16 +86,34 @@ def _grow(n: int) -> None:
             globals()[name] = np.cumprod(factors)
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    """64-bit hash of each span of bytes, the same for the same bytes wherever they stand."""
+def sequence_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each run of 64-bit values, the same for the same values wherever they stand."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    _grow(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((_VALUES_LOWER if lower else _VALUES)[data] * _powers[: len(data)], out=sums[1:])
+    _grow(len(values) + 1)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * _powers[: len(values)], out=sums[1:])
     return mixed((sums[ends] - sums[starts]) * _inverses[starts] + (ends - starts).astype(np.uint64))
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
+    """64-bit hash of each span of bytes; ``lower`` takes A-Z for a-z."""
+    return sequence_hashes((_VALUES_LOWER if lower else _VALUES)[data], starts, ends)
+
+
+def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Indices of all items of the given runs, run after run."""
+    total = np.cumsum(lengths)
+    return np.arange(total[-1] if len(total) else 0) + np.repeat(starts - (total - lengths), lengths)
+
+
+def characters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(code points, limits of each text among them)."""
+    before = np.zeros(len(data) + 1, np.int64)
+    np.cumsum((data & 0xC0) != 0x80, out=before[1:])
+    return np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32), before[offsets]
+
+
 def word_hash(word: str) -> int:
     """The hash ``span_hashes`` gives to this word."""
     data = np.frombuffer(word.encode(), np.uint8)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hexstats.llm import line_dedup, mixing, url_filter
+from hexstats.llm import line_dedup, mixing, pieces, quality_rules, url_filter
 from hexstats.llm.common import read
 
 
@@ -19,10 +20,21 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = pieces.coded(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(read(spark, sf_dir, "documents"))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = quality_rules.trained(docs, read(spark, sf_dir, "labels"))
+    return quality_rules.judged(docs, model)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_line_dedup, op4_url_filter, op9_mixing)
+    f.__name__: f for f in (op1_line_dedup, op4_url_filter, op7_pieces, op9_mixing, op10_quality_rules)
 }
