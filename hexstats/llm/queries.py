@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hexstats.llm import line_dedup, mixing, pieces, quality_rules, url_filter
+from hexstats.llm import license_scan, line_dedup, mixing, pieces, quality_rules, url_filter
 from hexstats.llm.common import read
 
 
@@ -15,6 +15,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(read(spark, sf_dir, "documents"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scanned(read(spark, sf_dir, "documents"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = url_filter.judged(read(spark, sf_dir, "pages"))
     return pages.select("page_id", "host", "path", "rule", "verdict")
@@ -36,5 +40,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_line_dedup, op4_url_filter, op7_pieces, op9_mixing, op10_quality_rules)
+    f.__name__: f
+    for f in (op1_line_dedup, op3_license_scan, op4_url_filter, op7_pieces, op9_mixing, op10_quality_rules)
 }
