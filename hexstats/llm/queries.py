@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hexstats.llm import license_scan, line_dedup, mixing, pieces, quality_rules, url_filter
+from hexstats.llm import license_scan, line_dedup, mixing, near_text, pieces, quality_rules, url_filter
 from hexstats.llm.common import read
 
 
@@ -29,6 +29,10 @@ def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op8_near_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_text.near_copies(read(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(read(spark, sf_dir, "documents"))
 
@@ -41,5 +45,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_line_dedup, op3_license_scan, op4_url_filter, op7_pieces, op9_mixing, op10_quality_rules)
+    for f in (op1_line_dedup, op3_license_scan, op4_url_filter, op7_pieces, op8_near_text, op9_mixing, op10_quality_rules)
 }
