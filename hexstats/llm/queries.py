@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hexstats.llm import byte_cnn, license_scan, line_dedup, mixing, near_text, pieces, quality_rules, url_filter
+from hexstats.llm import byte_cnn, license_scan, line_dedup, mixing, near_text, near_vectors, pieces, quality_rules, url_filter
 from hexstats.llm.common import read
 
 
@@ -15,6 +15,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(read(spark, sf_dir, "documents"))
 
 
+def op2_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_copies(read(spark, sf_dir, "embeddings"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scanned(read(spark, sf_dir, "documents"))
 
@@ -51,7 +55,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_line_dedup, op3_license_scan, op4_url_filter, op5_byte_cnn, op7_pieces, op8_near_text, op9_mixing,
+        op1_line_dedup, op2_near_vectors, op3_license_scan, op4_url_filter, op5_byte_cnn, op7_pieces, op8_near_text, op9_mixing,
         op10_quality_rules,
     )
 }
