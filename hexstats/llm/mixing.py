@@ -100,7 +100,7 @@ def mix(docs: DataFrame) -> DataFrame:
     columns = docs.columns
     targets = with_targets(source_totals(sized(docs)))
     packed = docs.select("doc_id", "source", F.struct(*columns).alias("_row"))
-    taken = with_copies(packed, targets).select("_row", F.explode(F.sequence(F.lit(1), F.col("copies"), F.lit(1))))
+    taken = with_copies(packed, targets).select("_row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
     return taken.select("_row.*")
 
 
