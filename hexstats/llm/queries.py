@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hexstats.llm import byte_cnn, license_scan, line_dedup, mixing, near_text, near_vectors, pieces, quality_rules, url_filter
+from hexstats.llm import byte_cnn, license_scan, line_dedup, mixing, near_text, near_vectors, pieces, quality_rules, suffix_dedup, url_filter
 from hexstats.llm.common import read
 
 
@@ -33,6 +33,11 @@ def op5_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_cnn.scored(docs, byte_cnn.trained(docs, read(spark, sf_dir, "labels")))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.removed(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = pieces.coded(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
@@ -55,7 +60,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_line_dedup, op2_near_vectors, op3_license_scan, op4_url_filter, op5_byte_cnn, op7_pieces, op8_near_text, op9_mixing,
+        op1_line_dedup, op2_near_vectors, op3_license_scan, op4_url_filter, op5_byte_cnn, op6_suffix_dedup, op7_pieces, op8_near_text, op9_mixing,
         op10_quality_rules,
     )
 }
