@@ -32,8 +32,10 @@ VARIABLE = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
 
 def template(line: Column) -> Column:
     """A line's words, those with digits replaced by a mark, with one space between."""
-    marked = F.regexp_replace(line, VARIABLE, "<*>")
-    return F.trim(F.regexp_replace(marked, SPACES, " "))
+    # most lines have neither digits nor odd spaces; a look for them costs far less than replacing
+    marked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, VARIABLE, "<*>")).otherwise(line)
+    spaced = F.when(line.rlike(r"[\x09-\x0D]|\x20\x20"), F.regexp_replace(marked, SPACES, " ")).otherwise(marked)
+    return F.trim(spaced)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
