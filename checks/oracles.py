@@ -337,13 +337,13 @@ EDGES = cte(
     levels=f"""select indicator_uuid, max(case when n <= 1000 then r end) as coverage_res from (
         select indicator_uuid, {res('h3')} as r, count(*) as n from facts
         where indicator_uuid not in ('{ONE}', '{AREA}') group by 1, 2) group by 1""",
-    covered=f"""select l.indicator_uuid, kx, ky from levels l join facts f on f.indicator_uuid = l.indicator_uuid
+    covered=f"""select distinct l.indicator_uuid, kx, ky from levels l join facts f on f.indicator_uuid = l.indicator_uuid
         and {res('f.h3')} = coverage_res join lattice using (h3)""",
     sides=f"""select indicator_uuid, kx + a.x as x1, ky + a.y as y1, kx + b.x as x2, ky + b.y as y2
       from covered cross join (values {fx.CORNERS_VALUES}) a(i, x, y)
       join (values {fx.CORNERS_VALUES}) b(i, x, y) on b.i = (a.i + 1) % 6""",
-    outline="""select indicator_uuid, x1, y1, x2, y2 from sides s where not exists (select 1 from sides o
-        where o.indicator_uuid = s.indicator_uuid and o.x1 = s.x2 and o.y1 = s.y2 and o.x2 = s.x1 and o.y2 = s.y1)""",
+    outline="""select indicator_uuid, any_value(x1) as x1, any_value(y1) as y1, any_value(x2) as x2, any_value(y2) as y2
+      from sides group by indicator_uuid, least((x1, y1), (x2, y2)), greatest((x1, y1), (x2, y2)) having count(*) = 1""",
 )
 _DATED = "date < timestamp '" + fx.NOW + "' - interval 1 minute"
 _UPLOADS = cte(

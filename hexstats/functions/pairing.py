@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 #: rows of either side that meet in one task
 TILE_ROWS = 2_000
-#: a side of a few plain columns is broadcast up to this many rows
-BROADCAST_ROWS = 1_000_000
-#: shares a hot key is cut into beyond that
-SALTS = 64
 
 
 def match_rows(left: DataFrame, right: DataFrame, condition: Column) -> DataFrame:
@@ -36,15 +32,11 @@ def match_rows(left: DataFrame, right: DataFrame, condition: Column) -> DataFram
     return a.join(b, ["_row", "_column"]).filter(condition).drop("_row", "_column")
 
 
-def attach(rows: DataFrame, small: DataFrame, keys: list[str], spread_by: Column) -> DataFrame:
+def attach(rows: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
     """Inner join of a large table with a small one, where any key may hold much of the large one.
 
-    ``small`` should be staged or cheap, it is counted: it is broadcast while it is small enough.
-    Beyond that its rows are repeated per salt and the large side is salted by ``spread_by``,
-    so the rows of one key go to many tasks.
+    ``small`` should be staged: Spark then knows its size and broadcasts it up to the session's
+    threshold. Beyond that both sides are shuffled for this join alone, which lets adaptive execution
+    split the partitions of hot keys; no row is repeated for keys that are not hot.
     """
-    if small.count() <= BROADCAST_ROWS:
-        return rows.join(F.broadcast(small), keys)
-    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salt = F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int")
-    return rows.withColumn("_salt", salt).join(repeated, [*keys, "_salt"]).drop("_salt")
+    return rows.join(small, keys)

@@ -12,7 +12,7 @@ from hexstats.functions.measures import spread
 from hexstats.functions.pairing import attach
 from hexstats.operators import quantiles
 from hexstats.operators.axis_values import (
-    AXIS_KEYS, axis_values, number_axes, share_of_cell, without_system_numerators,
+    AXIS_KEYS, axis_values, number_axes, without_system_numerators,
 )
 from hexstats.operators.overrides import with_external_ids
 from hexstats.schemas import SystemIds
@@ -68,7 +68,7 @@ def _moments(values: DataFrame) -> DataFrame:
 
 def _breaks(values: DataFrame) -> DataFrame:
     """p33, p50, p66 per (axis, resolution) and per axis, over the rows that count for stops."""
-    eligible = values.filter("counts_for_stops").select("axis_id", "res", "m", "share")
+    eligible = values.filter("counts_for_stops").select("axis_id", "res", "m")
     per_res = quantiles.histogram(eligible, ["axis_id", "res"], "m")
     total = per_res.groupBy("axis_id", "slot").agg(
         F.lit(_ALL).alias("res"), F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
@@ -80,7 +80,6 @@ def _breaks(values: DataFrame) -> DataFrame:
         "m",
         quantiles.continuous_ranks(PERCENTILES),
         counts=per_res.unionByName(total),
-        spread_by="share",
     )
     return found.select(
         "axis_id",
@@ -121,13 +120,11 @@ def statistics(
             ),
             rules.select("axis_id", "unfiltered"),
             ["axis_id"],
-            F.col("h3"),
         ).select(
             "axis_id",
             grid.resolution(F.col("h3")).alias("res"),
             "m",
             (F.col("unfiltered") | F.col("has_population")).alias("counts_for_stops"),
-            share_of_cell().alias("share"),
         )
     )
     stops_wanted = ~F.col("overridden")

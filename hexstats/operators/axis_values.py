@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from hexstats.functions import grid
 from hexstats.functions.measures import ratio
-from hexstats.functions.pairing import SALTS, attach
+from hexstats.functions.pairing import attach
 from hexstats.schemas import SystemIds
 
 AXIS_KEYS = ["numerator_uuid", "denominator_uuid"]
@@ -51,11 +51,6 @@ def listed(axes: DataFrame, column: str, without: tuple[str, ...] = ()) -> DataF
     return found
 
 
-def share_of_cell() -> Column:
-    """One byte that spreads the rows of a hot axis over tasks once the cell is dropped."""
-    return F.pmod(F.xxhash64("h3"), F.lit(SALTS)).cast("byte")
-
-
 def axis_values(
     facts: DataFrame,
     axes: DataFrame,
@@ -67,8 +62,9 @@ def axis_values(
 ) -> DataFrame:
     """Values ``m`` of all numbered, staged axes: (axis_id, h3, m, has_population).
 
-    The system denominators are either read from the facts like any other indicator, or taken
-    as a constant (1, or the average cell area of the resolution) that needs no matching row.
+    The system indicators are either read from the facts like any other indicator, or taken as a
+    constant (1, or the average cell area of the resolution) that needs no matching row. A constant
+    over a constant has no cells of its own, hence no values.
 
     Facts are shuffled once, by cell, whatever the number of denominators: the denominators of
     a cell travel as one short list (base indicators are few), and the multiplication into axes
@@ -92,7 +88,7 @@ def axis_values(
     cell_denominators = base.groupBy("h3").agg(
         F.collect_list("denominator").alias("stored"), F.bool_or("populated").alias("has_population")
     )
-    numerators = listed(axes, "numerator_uuid")
+    numerators = listed(axes, "numerator_uuid", without=tuple(constants))
     cells = (
         facts.join(numerators, "indicator_uuid", "left_semi")
         .withColumnRenamed("indicator_uuid", "numerator_uuid")
@@ -124,6 +120,25 @@ def axis_values(
         )
         .filter(F.col("m").isNotNull())
     )
-    return attach(divided, axes.select("axis_id", *AXIS_KEYS), AXIS_KEYS, F.col("h3")).select(
+    over = axes.filter(F.col("numerator_uuid").isin(*constants)) if constants else None
+    if over is not None and not over.isEmpty():
+        divided = divided.unionByName(_constant_over_stored(base, fixed))
+    return attach(divided, axes.select("axis_id", *AXIS_KEYS), AXIS_KEYS).select(
         "axis_id", "h3", "m", "has_population"
     )
+
+
+def _constant_over_stored(base: DataFrame, fixed: list[Column]) -> DataFrame:
+    """Constant numerators over the stored denominators of each cell."""
+    return (
+        base.filter(F.col("denominator").isNotNull())
+        .select("h3", "denominator", F.explode(F.array(*fixed)).alias("numerator"))
+        .select(
+            "h3",
+            F.col("numerator.denominator_uuid").alias("numerator_uuid"),
+            "denominator.denominator_uuid",
+            ratio(F.col("numerator.value"), F.col("denominator.value")).alias("m"),
+            F.lit(False).alias("has_population"),
+        )
+        .filter(F.col("m").isNotNull())
+    )

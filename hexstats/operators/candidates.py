@@ -18,6 +18,8 @@ def new_axes(metadata: DataFrame, axis: DataFrame) -> DataFrame:
     """Axes still missing: every active indicator over every active base indicator of another
     logical indicator."""
     live = active(metadata)
+    # versions are made distinct here, never their combinations
+    live = live.dropDuplicates(["internal_id"])
     numerators = live.select(
         F.col("param_id").alias("numerator"),
         F.col("internal_id").alias("numerator_uuid"),
@@ -31,7 +33,6 @@ def new_axes(metadata: DataFrame, axis: DataFrame) -> DataFrame:
     return (
         match_rows(numerators, bases, F.col("numerator_external") != F.col("denominator_external"))
         .select("numerator", "denominator", *AXIS_KEYS)
-        .dropDuplicates(AXIS_KEYS)
         .join(axis.select(*AXIS_KEYS), AXIS_KEYS, "left_anti")
     )
 
@@ -52,10 +53,11 @@ def new_correlations(metadata: DataFrame, axis: DataFrame, correlation: DataFram
 
     The first axis has a non-base numerator; versions of one logical indicator are not compared.
     """
-    live = active(metadata).select("internal_id", "external_id", "is_base")
+    live = active(metadata).select("internal_id", "external_id", "is_base").dropDuplicates(["internal_id"])
     good = (
         axis.filter(F.col("quality") > CORRELATION_QUALITY)
         .select(*AXIS_KEYS)
+        .distinct()
         .join(live.select(F.col("internal_id").alias("denominator_uuid")), "denominator_uuid", "left_semi")
         .join(live.withColumnRenamed("internal_id", "numerator_uuid"), "numerator_uuid")
     )
@@ -74,6 +76,5 @@ def new_correlations(metadata: DataFrame, axis: DataFrame, correlation: DataFram
     return (
         match_rows(side(good.filter("not is_base"), "x"), side(good, "y"), different)
         .select(*keys)
-        .distinct()
         .join(correlation.select(*keys), keys, "left_anti")
     )

@@ -43,8 +43,11 @@ def outline_edges(facts: DataFrame, resolutions: DataFrame, cell_boundary: DataF
     An edge shared by two cells occurs in both directions; edges that occur once are the outline.
     """
     covered = resolutions.filter(F.col("coverage_res").isNotNull()).select("indicator_uuid", "coverage_res")
+    # one number; it turns into a range of ids that reaches the scan, and coarse cells are few
+    finest = covered.agg(F.max("coverage_res")).first()[0]
     cells = (
-        facts.join(covered, "indicator_uuid")
+        facts.filter(grid.resolution_between(F.col("h3"), 0, -1 if finest is None else finest))
+        .join(covered, "indicator_uuid")
         .filter(grid.resolution(F.col("h3")) == F.col("coverage_res"))
         .select("indicator_uuid", "h3")
     )

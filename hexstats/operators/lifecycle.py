@@ -59,31 +59,30 @@ def dedup_upload(staged: DataFrame) -> DataFrame:
     )
 
 
-def reject_not_a_number(facts: DataFrame) -> DataFrame:
-    """Fail on NaN: it would count as the largest value of every statistic."""
-    value = F.col("indicator_value")
-    return facts.withColumn(
-        "indicator_value",
-        F.when(F.isnan(value), F.raise_error(F.lit("indicator value is not a number"))).otherwise(value),
-    )
+def acceptable_uploads(staged: DataFrame, uploads: DataFrame, metadata: DataFrame) -> DataFrame:
+    """(internal_id, upload_id) of the uploads to move now.
+
+    Only versions whose copy is in progress wait for one, so an upload is consumed once. An upload with
+    a value that is not a number is left alone: it would count as the largest value of every
+    statistic; its version stays in progress and is removed as a failed upload.
+    """
+    waiting = metadata.filter(F.col("state") == schemas.COPY_IN_PROGRESS)
+    spoiled = staged.filter(F.isnan("indicator_value")).select("upload_id").distinct()
+    return discovered_versions(uploads, waiting).join(spoiled, "upload_id", "left_anti")
 
 
 def ingest(staged: DataFrame, uploads: DataFrame, metadata: DataFrame) -> tuple[DataFrame, DataFrame]:
     """New fact rows of the discovered uploads, and the metadata with the states after it.
 
     ``uploads`` are the uploads whose data was found. A version becomes NEW when its upload has
-    rows and OUTDATED when it is empty; versions without found data are left alone.
+    rows and OUTDATED when it is empty; versions without acceptable data are left alone.
     """
-    known = metadata.filter(F.col("upload_id").isNotNull()).select("upload_id")
-    rows = dedup_upload(reject_not_a_number(staged).join(known, "upload_id", "left_semi"))
+    taken = acceptable_uploads(staged, uploads, metadata)
+    rows = dedup_upload(staged.join(taken.select("upload_id").distinct(), "upload_id", "left_semi"))
     filled = staged.select("upload_id").distinct().withColumn("filled", F.lit(True))
-    states = (
-        discovered_versions(uploads, metadata)
-        .join(filled, "upload_id", "left")
-        .select(
-            "internal_id",
-            F.when(F.col("filled"), F.lit(schemas.NEW)).otherwise(F.lit(schemas.OUTDATED)).alias("new_state"),
-        )
+    states = taken.join(filled, "upload_id", "left").select(
+        "internal_id",
+        F.when(F.col("filled"), F.lit(schemas.NEW)).otherwise(F.lit(schemas.OUTDATED)).alias("new_state"),
     )
     return rows.drop("upload_id"), set_state(metadata, states)
 
@@ -166,10 +165,20 @@ def discard_unchanged(metadata: DataFrame, drifts: DataFrame) -> DataFrame:
 # --- publication ----------------------------------------------------------------------------
 
 
+def completion(kind: str, axes: DataFrame) -> DataFrame:
+    """Records that work of a kind has run for these axes, whatever it found."""
+    return axes.select(F.lit(kind).alias("kind"), *AXIS_KEYS)
+
+
 def unfinished_work(
-    metadata: DataFrame, axis: DataFrame, correlation_candidates: DataFrame, ids: SystemIds
+    metadata: DataFrame,
+    axis: DataFrame,
+    correlation_candidates: DataFrame,
+    ids: SystemIds,
+    completed: DataFrame | None = None,
 ) -> DataFrame:
-    """Open work, read off the result columns that are still empty."""
+    """Open work: result columns that are still empty, unless ``completed`` (kind, axis) says that the
+    work has run and found nothing, as for an axis whose two indicators share no cell."""
     nothing = F.lit(None).cast("string")
     live = active(metadata).select("internal_id")
     open_axes = without_system_numerators(axis, ids)
@@ -192,6 +201,11 @@ def unfinished_work(
         nothing.alias("y_num"),
         nothing.alias("y_den"),
     )
+    if completed is not None:
+        done = completed.select("kind", F.col(AXIS_KEYS[0]).alias("x_num"), F.col(AXIS_KEYS[1]).alias("x_den"))
+        per_axis = per_axis.join(done.distinct(), ["kind", "x_num", "x_den"], "left_anti").select(
+            "kind", "x_num", "x_den", "y_num", "y_den"
+        )
     per_indicator = (
         active(metadata)
         .filter(F.col("max_res").isNull() & ~F.col("internal_id").isin(*ids.constants))

@@ -61,20 +61,20 @@ def order_statistics(
     value: str,
     ranks: Callable[[Column], Column],
     counts: DataFrame | None = None,
-    spread_by: str | None = None,
     sortable_rows: int = SORTABLE_ROWS,
 ) -> DataFrame:
     """Values at 1-based ranks: (keys, n, by_rank map<rank, value>).
 
     ``ranks`` turns the row count of a group into the array of ranks wanted from it. ``values``
-    is read once per pass and must hold no NULL; ``counts`` may bring a ready first pass, and
-    ``spread_by`` names a column that differs between equal values, to spread them by.
+    is read once per pass and must hold no NULL; ``counts`` may bring a ready first pass.
+
+    Ranges are numbered anew in every pass: a group has at most one per wanted rank, so the numbers
+    stay small however often a range is split.
     """
     rows = values.select(
         *keys,
         F.col(value).alias("v"),
         log_slot(F.col(value)).alias("slot"),
-        F.col(spread_by or value).alias("share"),
     )
     if counts is None:
         counts = histogram(values, keys, value)
@@ -99,7 +99,8 @@ def order_statistics(
         ranges = unsettled.groupBy(*keys, "slot", "lo", "hi", "total").agg(
             F.collect_list(F.struct("at", "rank")).alias("wanted")
         )
-        rows = attach(rows, ranges.select(*keys, "slot", "lo", "hi"), [*keys, "slot"], F.col("share"))
+        ranges = stage(ranges.withColumn("number", F.row_number().over(W.partitionBy(*keys).orderBy("slot")) - 1))
+        rows = attach(rows, ranges.select(*keys, "slot", "lo", "hi", "number"), [*keys, "slot"])
         sort_now = largest <= sortable_rows
         if sort_now:
             step = F.col("v")
@@ -115,10 +116,11 @@ def order_statistics(
         if sort_now:
             settled.append(found.select(*keys, "total", "rank", F.col("lo").alias("v")))
             break
-        rows = rows.select(*keys, "v", (F.col("slot") * _SPLIT + step).alias("slot"), "share")
+        split = F.col("number").cast("long") * _SPLIT
+        rows = rows.select(*keys, "v", (split + step).alias("slot"))
         hits = stage(
             found.select(
-                *keys, (F.col("slot") * _SPLIT + F.col("step")).alias("slot"), "n", "lo", "hi", "at", "rank", "total"
+                *keys, (split + F.col("step")).alias("slot"), "n", "lo", "hi", "at", "rank", "total"
             )
         )
 

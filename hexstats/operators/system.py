@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hexstats import schemas
 from hexstats.functions import grid
+from hexstats.operators.axis_values import listed
 from hexstats.schemas import SystemIds
 from hexstats.sources.tables import insert_absent
 
@@ -15,16 +16,16 @@ def missing_cells(facts: DataFrame, ids: SystemIds, numerators: DataFrame | None
     """Cells up to resolution 8 with data but without a row of ``one``: (h3, has_area).
 
     One aggregation by cell answers all three questions about it. ``numerators`` (indicator_uuid)
-    limits the indicators looked at; the system indicators never count as data.
+    limits the indicators looked at, and with them the folders that are read; the system indicators never
+    count as data.
     """
     indicator = F.col("indicator_uuid")
     rows = facts.filter(grid.resolution_between(F.col("h3"), 0, schemas.SYSTEM_MAX_RES))
     is_data = ~indicator.isin(*ids.constants)
     if numerators is not None:
-        wanted = numerators.select("indicator_uuid").distinct().withColumn("wanted", F.lit(True))
-        rows = rows.join(wanted, "indicator_uuid", "left").filter(
-            F.col("wanted") | indicator.isin(*ids.constants)
-        )
+        system = numerators.sparkSession.createDataFrame([(i,) for i in ids.constants], "indicator_uuid string")
+        wanted = numerators.select("indicator_uuid").unionByName(system)
+        rows = rows.join(listed(wanted, "indicator_uuid"), "indicator_uuid", "left_semi")
     return (
         rows.groupBy("h3")
         .agg(

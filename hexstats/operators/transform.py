@@ -10,7 +10,7 @@ from hexstats.functions.measures import within
 from hexstats.functions.pairing import attach
 from hexstats.operators import quantiles
 from hexstats.operators.axis_values import (
-    AXIS_KEYS, axis_values, number_axes, share_of_cell, without_system_numerators,
+    AXIS_KEYS, axis_values, number_axes, without_system_numerators,
 )
 from hexstats.schemas import SystemIds
 from hexstats.sources.staging import stage
@@ -49,15 +49,15 @@ def histogram(facts: DataFrame, axis: DataFrame, ids: SystemIds) -> DataFrame:
     values = stage(
         axis_values(
             facts, layer.select("axis_id", *AXIS_KEYS), ids, literal_one=False, average_area=False
-        ).select("axis_id", "m", share_of_cell().alias("share"))
+        ).select("axis_id", "m")
     )
     points = quantiles.order_statistics(
-        values, ["axis_id"], "m", quantiles.discrete_ranks(POINTS), spread_by="share"
+        values, ["axis_id"], "m", quantiles.discrete_ranks(POINTS)
     ).select(
         "axis_id", quantiles.discrete(F.col("n"), F.col("by_rank"), POINTS).alias("points")
     )
     centre = (
-        attach(values, layer.select("axis_id", "layer_mean", "layer_stddev"), ["axis_id"], F.col("share"))
+        attach(values, layer.select("axis_id", "layer_mean", "layer_stddev"), ["axis_id"])
         .filter(within(F.col("m"), F.col("layer_mean"), F.col("layer_stddev")))
         .groupBy("axis_id")
         .agg(F.stddev_samp("m").alias("new_stddev"), F.avg("m").alias("new_mean"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hexstats import schemas
@@ -29,6 +29,12 @@ class Base:
     overrides: DataFrame
     cell_boundary: DataFrame
     cell_geometry: DataFrame
+    #: (kind, numerator_uuid, denominator_uuid) of work that has run, also where it found nothing
+    completed: DataFrame
+
+
+def no_completed(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "kind string, numerator_uuid string, denominator_uuid string")
 
 
 def ingest(base: Base, staged: DataFrame, uploads: DataFrame) -> Base:
@@ -38,31 +44,49 @@ def ingest(base: Base, staged: DataFrame, uploads: DataFrame) -> Base:
 
 
 def fill_system(base: Base, owner: str, ids: SystemIds) -> Base:
-    """Register the system indicators and fill them for cells that lack them."""
+    """Register the system indicators and fill them for the cells of NEW indicators that lack them."""
     metadata, _ = system.add_system_metadata(base.metadata, owner, ids)
-    numerators = tables.active(metadata).select(F.col("internal_id").alias("indicator_uuid"))
+    numerators = metadata.filter(F.col("state") == schemas.NEW).select(F.col("internal_id").alias("indicator_uuid"))
     rows = system.system_rows(
         system.missing_cells(base.facts, ids, numerators), base.cell_boundary, ids
     )
     return replace(base, facts=base.facts.unionByName(stage(rows)), metadata=stage(metadata))
 
 
+def axes_to_measure(base: Base, ids: SystemIds) -> tuple[DataFrame, DataFrame]:
+    """(axes, those of them that are new): missing axes, axes with open work, and axes whose stored
+    minimum no longer fits their values."""
+    keys = ["numerator", "denominator", *AXIS_KEYS]
+    added = stage(candidates.new_axes(base.metadata, base.axis).select(*keys))
+    none_open = base.correlation.select(*schemas.PAIR_KEYS).limit(0)
+    open_work = lifecycle.unfinished_work(base.metadata, base.axis, none_open, ids, base.completed)
+    kinds = ("quality", "analytics", "transformations")
+    again = open_work.filter(F.col("kind").isin(*kinds)).select(F.col("x_num").alias(AXIS_KEYS[0]), F.col("x_den").alias(AXIS_KEYS[1]))
+    changed = base.axis.filter(F.col("transformations").isNull() & F.col("mean_all_res").isNotNull())
+    stale = transform.repair(transform.histogram(base.facts, changed, ids))
+    todo = base.axis.select(*keys).join(again.unionByName(stale).distinct(), AXIS_KEYS, "left_semi")
+    return stage(added.unionByName(todo)), added
+
+
 def measure_axes(base: Base, owner: str) -> Base:
-    """Add the missing axes and compute quality, analytics, overrides and transformations of
-    them, as well as resolution and coverage of their new indicators."""
+    """Compute quality, analytics, overrides and transformations of new, unfinished and stale axes, as
+    well as resolution and coverage of new indicators; apply the overrides to all axes."""
     ids = tables.system_ids(base.metadata, owner)
-    added = stage(candidates.new_axes(base.metadata, base.axis))
-    fresh = base.axis.limit(0).unionByName(added, allowMissingColumns=True)
-    fresh = tables.update_columns(
-        fresh, quality.axis_quality(base.facts, added, ids), AXIS_KEYS, ["quality"]
-    )
-    stats = analytics.statistics(base.facts, added, base.metadata, base.overrides, ids)
+    todo, added = axes_to_measure(base, ids)
+    fresh = base.axis.limit(0).unionByName(todo, allowMissingColumns=True)
+    fresh = tables.update_columns(fresh, quality.axis_quality(base.facts, todo, ids), AXIS_KEYS, ["quality"])
+    stats = analytics.statistics(base.facts, todo, base.metadata, base.overrides, ids)
     fresh = analytics.apply_analytics(fresh, analytics.analytics(stats))
     fresh = stage(overrides.apply_overrides(fresh, base.overrides, base.metadata))
 
     points = stage(transform.histogram(base.facts, fresh, ids))
     fresh = transform.apply_transforms(fresh, transform.transform_result(transform.transform_stats(points)))
-    axis = stage(base.axis.unionByName(fresh))
+    kept = base.axis.join(todo.select(*AXIS_KEYS), AXIS_KEYS, "left_anti").select(*base.axis.columns)
+    kept = overrides.apply_overrides(kept, base.overrides, base.metadata)
+    axis = stage(kept.unionByName(fresh.select(*base.axis.columns)))
+    completed = base.completed
+    for kind in ("quality", "analytics", "transformations"):
+        completed = completed.unionByName(lifecycle.completion(kind, todo))
 
     new = candidates.new_indicators(base.metadata, added)
     new_facts = base.facts.join(new, "indicator_uuid", "left_semi").select(*base.facts.columns)
@@ -72,7 +96,7 @@ def measure_axes(base: Base, owner: str) -> Base:
     )
     metadata = coverage.apply_coverage(base.metadata, resolutions, outlines)
     metadata = stage(quality.downscale(metadata, axis, ids))
-    return replace(base, axis=axis, metadata=metadata)
+    return replace(base, axis=axis, metadata=metadata, completed=stage(completed.distinct()))
 
 
 def correlate(base: Base, owner: str) -> Base:
@@ -89,7 +113,7 @@ def publish(base: Base, owner: str) -> Base:
     ids = tables.system_ids(base.metadata, owner)
     # correlations do not hold back publication
     none_open = base.correlation.select(*schemas.PAIR_KEYS).limit(0)
-    unfinished = lifecycle.unfinished_work(base.metadata, base.axis, none_open, ids)
+    unfinished = lifecycle.unfinished_work(base.metadata, base.axis, none_open, ids, base.completed)
     return replace(base, metadata=stage(lifecycle.publish(base.metadata, base.axis, unfinished)))
 
 

@@ -1,7 +1,6 @@
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.errors import PySparkException
 
 from hexstats import schemas
 from hexstats.operators import lifecycle, overrides, report, system
@@ -37,12 +36,23 @@ def test_ingest(spark):
     assert states(after) == {A: "NEW", B: "OUTDATED", C: "COPY IN PROGRESS"}
 
 
-def test_ingest_rejects_not_a_number(spark):
-    staged = spark.createDataFrame([("u1", 1, A, float("nan"))], _UPLOAD)
+def test_ingest_leaves_out_an_upload_with_not_a_number(spark):
+    staged = spark.createDataFrame([("u1", 1, A, float("nan")), ("u1", 2, A, 1.0), ("u2", 1, B, 2.0)], _UPLOAD)
+    uploads = spark.createDataFrame([("u1",), ("u2",)], "upload_id string")
+    meta = metadata(
+        spark, *[{"internal_id": i, "upload_id": u, "state": "COPY IN PROGRESS"} for i, u in ((A, "u1"), (B, "u2"))]
+    )
+    rows, after = lifecycle.ingest(staged, uploads, meta)
+    assert [tuple(r) for r in rows.collect()] == [(1, B, 2.0)]
+    assert states(after) == {A: "COPY IN PROGRESS", B: "NEW"}
+
+
+def test_an_upload_is_consumed_once(spark):
+    staged = spark.createDataFrame([("u1", 1, A, 5.0)], _UPLOAD)
     uploads = spark.createDataFrame([("u1",)], "upload_id string")
-    rows, _ = lifecycle.ingest(staged, uploads, metadata(spark, {"internal_id": A, "upload_id": "u1"}))
-    with pytest.raises(PySparkException, match="not a number"):
-        rows.collect()
+    ready = metadata(spark, {"internal_id": A, "upload_id": "u1", "state": "READY"})
+    rows, after = lifecycle.ingest(staged, uploads, ready)
+    assert rows.count() == 0 and states(after) == {A: "READY"}
 
 
 def test_previous_version_is_the_oldest_earlier_live_one(spark):

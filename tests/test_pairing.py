@@ -4,20 +4,29 @@ import pytest
 from pyspark.sql import functions as F
 
 from hexstats.functions import pairing
+from hexstats.sources.staging import stage
 
 
-@pytest.mark.parametrize("limit", [1_000, 0])
-def test_attach_is_an_inner_join_either_way(spark, monkeypatch, limit):
-    monkeypatch.setattr(pairing, "BROADCAST_ROWS", limit)
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_attach_is_an_inner_join_that_respects_the_threshold(spark, threshold):
     # two thirds of the rows share one key
     rows = spark.range(300).select(F.when(F.col("id") < 200, 0).otherwise(F.col("id") % 7).cast("int").alias("k"), "id")
-    small = spark.createDataFrame([(0, "a"), (0, "b"), (3, "c")], "k int, v string")
-    found = pairing.attach(rows, small, ["k"], F.col("id"))
-    assert sorted(found.columns) == ["id", "k", "v"]
-    expected = rows.join(small, "k").select("k", "id", "v").collect()
-    assert Counter(map(tuple, found.select("k", "id", "v").collect())) == Counter(map(tuple, expected))
-    plan = found._jdf.queryExecution().optimizedPlan().toString()
-    assert ("_salt" in plan) == (limit == 0)
+    small = stage(spark.createDataFrame([(0, "a"), (0, "b"), (3, "c")], "k int, v string"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        found = pairing.attach(rows, small, ["k"])
+        plan = found._jdf.queryExecution().sparkPlan().toString()
+        assert ("BroadcastHashJoin" in plan) == (threshold != "-1")
+        assert sorted(map(tuple, found.select("k", "v", "id").collect())) == sorted(
+            (k, v, i)
+            for i in range(300)
+            for k in [0 if i < 200 else i % 7]
+            for key, v in ((0, "a"), (0, "b"), (3, "c"))
+            if k == key
+        )
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 @pytest.mark.parametrize("tile", [1_000, 7, 1])

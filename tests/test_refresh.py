@@ -34,6 +34,7 @@ def done(spark, sf_dir):
         cell_geometry=spark.createDataFrame(
             [], "h3 long, resolution int, boundary array<struct<x: double, y: double>>"
         ),
+        completed=refresh.no_completed(spark),
     )
     uploads = spark.createDataFrame([("u5",)], "upload_id string")
     return refresh.run(base, staged, uploads, fx.OWNER, NOW)
