@@ -137,7 +137,9 @@ def _pairs_of_blocks(assigned: DataFrame, cells: int) -> DataFrame:
                 later = np.concatenate(
                     [np.arange(u, first[cell[k] + 1]), *(np.arange(first[c], first[c + 1]) for c in visited)]
                 )
-                for key, role in ((u * total + later, True), (hosts[u], False)):
+                keys_ = u * total + later
+                keys_[0] = -1 - u  # the block with itself
+                for key, role in ((keys_, True), (hosts[u], False)):
                     rows.append(np.full(len(key), k))
                     keys.append(key)
                     guest.append(np.full(len(key), role))
@@ -162,7 +164,7 @@ def _linked(group: pa.Table) -> pa.Table:
     vectors = np.frombuffer(b"".join(group.column("vector").to_pylist())).reshape(len(ids), -1)
     order = np.argsort(~guest, kind="stable")
     ids, vectors, guests = ids[order], vectors[order], int(guest.sum())
-    within = guests == len(ids)
+    within = group.column("pair")[0].as_py() < 0
     left, right, shift = vectors[:guests], (vectors if within else vectors[guests:]), (0 if within else guests)
     found = []
     for begin in range(0, guests, ROWS):
