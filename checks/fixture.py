@@ -115,6 +115,17 @@ union all
 select '{_ext(99)}', '{ONE}', 1e0, 1e0, 1e0, 1e0, null, null, null, null, null
 """
 
+SPECIAL_PAIRS_SQL = "\nunion all ".join(
+    f"select '{a}' as x_numerator_id, '{b}' as x_denominator_id, '{c}' as y_numerator_id, '{d}' as y_denominator_id"
+    for a, b, c, d in (
+        (ACCTBAL, ONE, ONE, ORDERS),
+        (AREA, POPULATION, ONE, ORDERS),
+        (ORDERS, ORDERS, ACCTBAL, ONE),
+        (ONE, POPULATION, POPULATION, POPULATION),
+        (ONE, uuid(9), ACCTBAL, ONE),
+    )
+)
+
 # --- registry: every supplier is one version of an indicator ----------------------------------
 
 _SUP = "concat('00000000-0000-4000-9000-', lpad(cast({} as string), 12, '0'))"

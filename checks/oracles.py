@@ -429,6 +429,16 @@ ORACLES: dict[str, str] = {
                           and a.denominator_uuid = c.denominator_uuid)""",
     "correlation_candidates": f"{WITH_REGISTRY}, {OPEN_PAIRS} select {_PAIR} from open_pairs",
     "correlation_prune": f"{WITH_REGISTRY}, {OPEN_PAIRS} {pruned('open_pairs')}",
+    "correlation_special": f"""with {FACTS}, {META}, pairs as ({fx.for_duckdb(fx.SPECIAL_PAIRS_SQL)}), special as (
+          select '{fx.ACCTBAL}' as num, '{ONE}' as den, h3, indicator_value as m from facts
+            where indicator_uuid = '{fx.ACCTBAL}'
+          union all select case i when 0 then '{ONE}' when 1 then '{AREA}' else indicator_uuid end, indicator_uuid, h3,
+            case i when 0 then 1 when 1 then {avg_area(res('h3'))} else indicator_value end / nullif(indicator_value, 0)
+            from facts cross join range(3) t(i) where indicator_uuid in ('{fx.ORDERS}', '{fx.POPULATION}')
+        ) select {_PAIR}, {rnd('''case when var_pop(x.m) > 0 and var_pop(y.m) > 0 then corr(x.m, y.m) end''')} as correlation
+        from pairs left join (special x join special y on x.h3 = y.h3 and x.m is not null and y.m is not null)
+          on x.num = x_numerator_id and x.den = x_denominator_id and y.num = y_numerator_id and y.den = y_denominator_id
+        group by all""",
     "axis_correlation": f"{WITH_QUALITY}, {CORRELATION} select {_PAIR}, {rnds('correlation')} from correlations",
     "correlation_score": f"{WITH_REGISTRY}, {MIRRORED} select {_PAIR}, correlation, {rnds('quality')} from scored",
     "correlation_upsert": f"""{WITH_REGISTRY}, {MIRRORED}
@@ -499,6 +509,8 @@ ORACLES: dict[str, str] = {
           case when state = 'READY' and row_number() over (partition by external_id, state
             order by date desc nulls first, internal_id desc) > 1 then 'OUTDATED' else state end as state from registry""",
     "unfinished_work": f"{WITH_WORK} select * from work",
+    "unfinished_recorded": f"""{WITH_WORK} select * from work
+        where kind <> 'analytics' or right(x_num, 1) not in ('0', '5')""",
     "indicators_with_work": f"""{WITH_WORK} select distinct i as indicator_uuid from (
           select x_num as i from work union all select x_den from work
           union all select y_num from work union all select y_den from work) where i is not null""",

@@ -247,6 +247,13 @@ def axis_correlation(spark, d):
     return found.select(*_PAIR, rounded("correlation").alias("correlation"))
 
 
+def correlation_special(spark, d):
+    """System indicators as numerators, and an axis that is constant wherever it has a value."""
+    pairs = fx.derive(spark, d, fx.SPECIAL_PAIRS_SQL)
+    found = correlation.correlate(fx.facts(spark, d), pairs, fx.IDS)
+    return found.select(*_PAIR, rounded("correlation").alias("correlation"))
+
+
 def correlation_score(spark, d):
     """Mirroring and combined quality, on the registry's known correlations."""
     results = fx.derive(spark, d, fx.REGISTRY_CORRELATION_SQL).select(*_PAIR, "correlation")
@@ -409,6 +416,13 @@ def unfinished_work(spark, d):
     return _registry_work(spark, d)
 
 
+def unfinished_recorded(spark, d):
+    """Open work when analytics is on record for some axes whose result columns are empty."""
+    axis = _registry_axis(spark, d)
+    done = lifecycle.completion("analytics", axis.filter(F.substring("numerator_uuid", -1, 1).isin("0", "5")))
+    return lifecycle.unfinished_work(_registry(spark, d), axis, _registry_pairs(spark, d), fx.IDS, done)
+
+
 def indicators_with_work(spark, d):
     return lifecycle.indicators_with_work(_registry_work(spark, d))
 
@@ -485,10 +499,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for q in (
         axis_values_analytics, axis_values_stored, axis_values_correlation, axis_statistics, axis_stops, stat_quality, axis_analytics, downscale, histogram_points, transform_points,
         transform_stats, best_transform, transform_result, transform_repair, axis_candidates, new_indicators,
-        correlation_candidates, correlation_prune, axis_correlation, correlation_score, correlation_upsert,
+        correlation_candidates, correlation_prune, axis_correlation, correlation_special, correlation_score, correlation_upsert,
         grid_functions, cell_area, system_metadata, missing_cells, system_fill, max_resolution, coverage_edges, coverage_outline,
         cell_geometry, drift_check, drift_discard, previous_versions, staging_discovery, ingest_dedup,
-        ingest_rows, ingest_states, publish_states, latest_ready, unfinished_work, indicators_with_work,
+        ingest_rows, ingest_states, publish_states, latest_ready, unfinished_work, unfinished_recorded, indicators_with_work,
         important_work, axis_overrides, orphan_overrides, purge_facts, purge_axes, purge_correlations,
         purge_metadata, failed_uploads, inactive_ids, active_indicators, report_by_state, unfinished_by_kind,
         unfinished_by_indicator, latest_upload,
