@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import islice
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -42,12 +45,17 @@ def upload_tables(spark: SparkSession, database: str | None = None) -> DataFrame
 def drop_indicators(spark: SparkSession, table: str, ids: DataFrame) -> None:
     """Remove indicators from a catalogued fact table by dropping their partitions.
 
-    Costs as much as the number of removed indicators, whatever the size of the table.
+    Costs as much as the number of removed indicators, whatever the size of the table; a few hundred
+    partitions go with each statement.
     """
-    for row in ids.select("internal_id").distinct().toLocalIterator():
-        spark.sql(
-            f"ALTER TABLE {table} DROP IF EXISTS PARTITION (indicator_uuid = '{row['internal_id']}')"
-        )
+    for rows in _batches(ids.select("internal_id").distinct().toLocalIterator(), 500):
+        partitions = ", ".join(f"PARTITION (indicator_uuid = '{row['internal_id']}')" for row in rows)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {partitions}")
+
+
+def _batches(rows: Iterator, size: int) -> Iterator[list]:
+    while batch := list(islice(rows, size)):
+        yield batch
 
 
 def nested_as_json(table: DataFrame) -> DataFrame:

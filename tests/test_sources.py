@@ -1,3 +1,4 @@
+import os
 import glob
 
 from pyspark.sql import functions as F
@@ -69,3 +70,13 @@ def test_dropped_indicators_leave_the_table(spark):
 def test_nested_columns_become_json(spark):
     df = spark.createDataFrame([(1, [1.0, 2.0])], "k int, points array<double>")
     assert tuple(tables.nested_as_json(df).first()) == (1, "[1.0,2.0]")
+
+
+def test_staged_tables_of_an_area_are_deleted(spark, tmp_path):
+    from hexstats.sources.staging import stage, staging_area
+
+    with staging_area(spark):
+        inside = stage(spark.range(3))
+        inside.write.parquet(str(tmp_path / "kept"))
+        folder = inside.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+    assert not os.path.exists(folder) and spark.read.parquet(str(tmp_path / "kept")).count() == 3
