@@ -32,10 +32,9 @@ VARIABLE = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
 
 def template(line: Column) -> Column:
     """A line's words, those with digits replaced by a mark, with one space between."""
-    # most lines have neither digits nor odd spaces; a look for them costs far less than replacing
-    marked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, VARIABLE, "<*>")).otherwise(line)
-    spaced = F.when(line.rlike(r"[\x09-\x0D]|\x20\x20"), F.regexp_replace(marked, SPACES, " ")).otherwise(marked)
-    return F.trim(spaced)
+    # most lines have neither digits nor odd spaces; one look for both costs far less than replacing
+    marked = F.regexp_replace(F.regexp_replace(line, VARIABLE, "<*>"), SPACES, " ")
+    return F.trim(F.when(line.rlike(r"[0-9\x09-\x0D]|\x20\x20"), marked).otherwise(line))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -98,17 +97,26 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         "doc", "version", "line", F.when(F.col("near_leaf").isNotNull(), by_leaf).otherwise(own).alias("id")
     )
     named = named.select("doc", "version", "line", F.col("id.a").alias("a"), F.coalesce("id.b", F.lit(0)).alias("b"))
-    place = F.struct("doc", "version", "line")
+    # numbers of fixed width throughout, so that all this is aggregated by hash
     recurring = (
-        named.groupBy("a", "b", "doc")
-        .agg(F.min(place).alias("first"))
+        named.withColumn("nth", F.coalesce("doc", F.lit(-(1 << 63))))
+        .groupBy("a", "b", "nth")
+        .agg(F.min("line").alias("line"), F.min_by("version", "line").alias("version"))
         .groupBy("a", "b")
-        .agg(F.count(F.lit(1)).alias("docs"), F.min("first").alias("first"))
+        .agg(
+            F.count(F.lit(1)).alias("docs"),
+            F.min("nth").alias("nth"),
+            F.min_by("line", "nth").alias("first_line"),
+            F.min_by("version", "nth").alias("first_version"),
+        )
         .filter(F.col("docs") >= min_docs)
-        .select("a", "b", "first")
     )
-    later = ~place.eqNullSafe(F.col("first"))
-    return named.join(recurring, ["a", "b"]).filter(later).select("doc", "version", "line")
+    is_first = (
+        (F.coalesce("doc", F.lit(-(1 << 63))) == F.col("nth"))
+        & (F.col("version") == F.col("first_version"))
+        & (F.col("line") == F.col("first_line"))
+    )
+    return named.join(recurring, ["a", "b"]).filter(~is_first).select("doc", "version", "line")
 
 
 def with_kept_text(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
