@@ -8,11 +8,12 @@ on a part of it that was not fitted on.
 Edge cases: a null or empty text has no response to any filter and gets the score of that; without
 labels of both kinds every text scores the share of good labels (1 if there are none); rows are scored on
 their own, so repeated rows score alike; an empty table stays empty; other columns are ignored. Memory: a
-slice of about a megabyte of text, or the longest text.
+slice of a quarter of a megabyte of text, or the longest text.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -200,12 +201,12 @@ def scored(docs: DataFrame, network: Network) -> DataFrame:
     """doc_id, held_out, score and predicted (1 from ACCEPT) of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(network)  # 300 kB, whatever the data
 
-    def score(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def score(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         network, tables = shared.value, _tables(shared)
         z = [log_odds(network, tables, data, offsets) for _, data, offsets in flat.slices(batch.column(1))]
         odds = np.clip(network.scale * np.concatenate(z) + network.shift, -30, 30)
         columns = [batch.column(0).cast(pa.int64()), pa.array(1 / (1 + np.exp(-odds)))]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "score"])
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "score"])
 
     found = map_texts(docs, score, "doc_id long, score double", "doc_id", "text")
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,15 +13,27 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now.
+
+    It does so when the driver's garbage collector finds that nothing refers to them, which may
+    come long after a job that moved whole texts.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def map_texts(
-    docs: DataFrame, score: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, *columns: str
+    docs: DataFrame, score: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str, *columns: str
 ) -> DataFrame:
-    """Apply ``score`` to the Arrow batches of the given columns; rows stay where they are."""
+    """Apply ``score`` to the Arrow batches of the given columns; rows stay where they are.
+
+    Large results come in several batches, so that a task never holds those of a whole batch.
+    """
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield score(batch)
+                yield from score(batch)
 
     return docs.select(*columns).mapInArrow(over, schema)
 

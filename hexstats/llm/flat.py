@@ -1,7 +1,7 @@
 """Texts of an Arrow batch as flat numpy arrays: bytes, words, hashes.
 
 All functions work on a slice of a batch: ``data`` holds the UTF-8 bytes of some texts back to back
-and ``offsets`` their limits. Slices hold about a megabyte, so the temporary arrays of a task stay
+and ``offsets`` their limits. Slices hold a quarter of a megabyte, so the temporary arrays of a task stay
 small whatever the batch; only a single longer text makes a longer slice.
 """
 
@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 #: base of the polynomial hash; 3 mod 8, so that its powers differ in as many low bits as they can
 _BASE = 0x9E3779B97F4A7C13
 _MASK = (1 << 64) - 1

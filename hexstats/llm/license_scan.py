@@ -15,6 +15,7 @@ columns are ignored. The index and the counts are as large as the licence texts,
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -174,7 +175,7 @@ def _places(words: np.ndarray, phrase: np.ndarray) -> np.ndarray:
 def document_counts(docs: DataFrame, index: Index) -> np.ndarray:
     """Number of documents, then of documents with each licence word: one number per word."""
 
-    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def count(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(len(index.vocabulary) + 1, np.int64)
         for _, data, offsets in flat.slices(batch.column(0)):
             words, first = _known(index, data, offsets)
@@ -183,7 +184,7 @@ def document_counts(docs: DataFrame, index: Index) -> np.ndarray:
             once = np.unique(text * len(index.vocabulary) + words[at]) % len(index.vocabulary)
             seen[:-1] += np.bincount(once, minlength=len(index.vocabulary))
             seen[-1] += len(offsets) - 1
-        return pa.RecordBatch.from_arrays([pa.array(np.arange(-1, len(seen) - 1)), pa.array(np.roll(seen, 1))], ["word", "docs"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, len(seen) - 1)), pa.array(np.roll(seen, 1))], ["word", "docs"])
 
     counted = map_texts(docs, count, "word long, docs long", "text").groupBy("word").agg(F.sum("docs").alias("docs"))
     out = np.zeros(len(index.vocabulary) + 1, np.int64)
@@ -219,7 +220,7 @@ def scanned(docs: DataFrame, index: Index | None = None) -> DataFrame:
     postings = rare_postings(index, document_counts(docs, index))
     gap = max(len(p) for p in [*index.texts, *(p for p, _ in index.phrases)])
 
-    def scan(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def scan(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         rows = []
         for _, data, offsets in flat.slices(batch.column(1)):
             words, first = _known(index, data, offsets)
@@ -255,6 +256,6 @@ def scanned(docs: DataFrame, index: Index | None = None) -> DataFrame:
         kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
         names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
         columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
-        return pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *columns], names)
+        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *columns], names)
 
     return map_texts(docs, scan, SCHEMA, "doc_id", "text")

@@ -8,12 +8,13 @@ a time, best first, leftmost first, gives.
 
 Edge cases: a null or empty text has only the end id; characters without a piece become bytes; bytes
 that are no valid UTF-8 decode to U+FFFD; other columns are ignored, repeated rows are coded alike, an
-empty table stays empty. Memory: a slice of two megabytes of text, or the longest text.
+empty table stays empty. Memory: a slice of half a megabyte of text, or the longest text.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import pairwise
 
@@ -27,7 +28,7 @@ from hexstats.llm.common import map_texts
 
 SPACE = "▁"
 SCHEMA = "doc_id long, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string, decoded string"
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 _NONE = np.iinfo(np.int64).max
 _CODE_POINTS = 0x110000
 
@@ -254,31 +255,24 @@ def coded(docs: DataFrame, model: str, texts: bool = False) -> DataFrame:
     ``model`` is the path of a model file that all executors have.
     """
 
-    def code(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def code(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(model)
-        lists, counts, hashes, back, decoded = [], [], [], [], []
-        for _, data, offsets in flat.slices(batch.column(1), SLICE_BYTES):
+        for first, data, offsets in flat.slices(batch.column(1), SLICE_BYTES):
             ids, limits = encode(vocab, data, offsets)
-            lists.append(pa.ListArray.from_arrays(pa.array(limits, pa.int32()), pa.array(ids, pa.int32())))
-            counts.append(np.diff(limits))
             words = vocab.decimal[ids].tolist()
-            for begin, end in pairwise(limits.tolist()):
-                hashes.append(hashlib.sha256(b" ".join(words[begin:end])).hexdigest())
+            hashes = [hashlib.sha256(b" ".join(words[begin:end])).hexdigest() for begin, end in pairwise(limits.tolist())]
             content, at = decode(vocab, ids, limits)
-            for begin, end in pairwise(at.tolist()):
-                text = content[begin:end].tobytes().decode("utf-8", "replace")
-                back.append(hashlib.sha256(text.encode()).hexdigest())
-                decoded.append(text if texts else None)
-        return pa.RecordBatch.from_arrays(
-            [
-                batch.column(0).cast(pa.int64()),
-                pa.array(np.concatenate(counts), pa.int64()),
-                pa.concat_arrays(lists),
-                pa.array(hashes, pa.string()),
-                pa.array(back, pa.string()),
-                pa.array(decoded, pa.string()),
-            ],
-            ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256", "decoded"],
-        )
+            decoded = [content[begin:end].tobytes().decode("utf-8", "replace") for begin, end in pairwise(at.tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).slice(first, len(offsets) - 1).cast(pa.int64()),
+                    pa.array(np.diff(limits), pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(limits, pa.int32()), pa.array(ids, pa.int32())),
+                    pa.array(hashes, pa.string()),
+                    pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decoded], pa.string()),
+                    pa.array(decoded if texts else [None] * len(decoded), pa.string()),
+                ],
+                ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256", "decoded"],
+            )
 
     return map_texts(docs, code, SCHEMA, "doc_id", "text")

@@ -7,11 +7,12 @@ Arrow batches: the score of a text is the mean weight of its n-grams of each kin
 Edge cases: a null or empty text has no words and fails the base rules; without labels of both
 kinds the verdict is the share of good labels (keep, if there are none); rows are judged on their
 own, so repeated rows and ties are judged alike; an empty table stays empty; other columns are
-ignored. Memory is bounded by a slice of about a megabyte of text, or the longest text.
+ignored. Memory is bounded by a slice of a quarter of a megabyte of text, or the longest text.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -191,14 +192,14 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, the signals, and the calibrated probability of good quality."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 MB, whatever the data
 
-    def score(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def score(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         found = {name: [] for name in (*SIGNALS, "probability")}
         for _, data, offsets in flat.slices(batch.column(1)):
             for name, values in signals(data, offsets).items():
                 found[name].append(values)
             found["probability"].append(shared.value.probability(data, offsets))
         columns = [pa.array(np.concatenate(v).astype(float if k == "probability" else np.int64)) for k, v in found.items()]
-        return pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *columns], ["doc_id", *found])
+        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *columns], ["doc_id", *found])
 
     return map_texts(docs, score, SCHEMA, "doc_id", "text")
 
