@@ -31,10 +31,11 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hexstats.llm import flat
+from hexstats.llm.common import free_shuffles
 from hexstats.sources.staging import shared_folder
 
 LENGTH, GRAM = 50, 20
@@ -104,9 +105,16 @@ def _owners(docs: bytes, owner: bytes, width: int) -> np.ndarray:
     return table[np.frombuffer(owner, _owner_type(len(table)))]
 
 
+def _tag(gram: np.ndarray) -> np.ndarray:
+    return (gram >> np.uint64(32)).astype(np.uint32)
+
+
 def _send_grams(groups: int):
-    """Pack (gram, document) by the gram's hash; those found twice in one task are reported at once."""
-    shift = np.uint64(64 - (groups - 1).bit_length()) if groups > 1 else None
+    """Pack (gram, document) by the gram's hash; those found twice in one task are reported at once.
+
+    The low bits of a hash choose the group, the high 32 stand for the gram within it. Two grams that are
+    alike in both only make a few anchors too many candidates.
+    """
 
     def flush(ids: np.ndarray, gram: np.ndarray, doc: np.ndarray, salt: int):
         order = np.lexsort((doc, gram))
@@ -119,19 +127,22 @@ def _send_grams(groups: int):
         begin = np.flatnonzero(first)
         often = np.repeat(np.diff(np.append(begin, len(gram))) > 1, np.diff(np.append(begin, len(gram))))
         if often.any():
-            yield _packed(-1 - salt % groups, ids[doc[often]], b"", gram[often].astype(np.uint32))
+            yield _packed(-1 - salt % groups, ids[doc[often]], b"", _tag(gram[often]))
         # one document tells the others; a second one if the gram is known to be shared
         second = np.zeros(len(gram), bool)
         second[1:] = first[:-1] & ~first[1:]
         gram, doc = gram[first | second], doc[first | second]
-        key = (gram >> shift).astype(np.int64) if shift is not None else np.zeros(len(gram), np.int64)
+        key = (gram & np.uint64(groups - 1)).astype(np.int64)
+        order = np.argsort(key, kind="stable")
+        gram, doc, key = gram[order], doc[order], key[order]
         limits = np.searchsorted(key, np.arange(groups + 1))
         for k in range(groups):
             part = slice(limits[k], limits[k + 1])
             if limits[k] < limits[k + 1]:
                 used, owner = np.unique(doc[part], return_inverse=True)
-                six = gram[part].view(np.uint8).reshape(-1, 8)[:, :6]
-                yield _packed(k, ids[used], owner.astype(_owner_type(len(used))), six)
+                # ascending numbers byte by byte: their high bytes hardly change, and compress
+                planes = _tag(gram[part]).view(np.uint8).reshape(-1, 4).T
+                yield _packed(k, ids[used], owner.astype(_owner_type(len(used))), planes)
 
     def send(batches):
         held, size = [], 0
@@ -171,9 +182,8 @@ def _shared_grams(group: pa.Table) -> pa.Table:
             grams.append(np.frombuffer(row["content"], np.uint32))
             continue
         docs.append(_owners(row["docs"], row["owner"], 1)[:, 0])
-        wide = np.zeros((len(docs[-1]), 8), np.uint8)
-        wide[:, :6] = np.frombuffer(row["content"], np.uint8).reshape(-1, 6)
-        grams.append(wide.view(np.uint64)[:, 0])
+        planes = np.frombuffer(row["content"], np.uint8).reshape(4, -1)
+        grams.append(np.ascontiguousarray(planes.T).view(np.uint32)[:, 0])
     doc, gram = np.concatenate(docs), np.concatenate(grams)
     if not reported:
         order = np.argsort(gram)
@@ -182,7 +192,7 @@ def _shared_grams(group: pa.Table) -> pa.Table:
         several = np.minimum.reduceat(doc, begin) != np.maximum.reduceat(doc, begin)
         several = np.repeat(several, np.diff(np.append(begin, len(gram))))
         doc, gram = doc[several], gram[several]
-    return pa.table({"doc_id": doc, "gram": gram.astype(np.uint32).view(np.int32)})
+    return pa.table({"doc_id": doc, "gram": gram.view(np.int32)})
 
 
 def _names(content: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -231,7 +241,7 @@ def _around(data: np.ndarray, offsets: np.ndarray, wanted: np.ndarray, wanted_te
     """Per kind (text, start, bytes, mask) around the anchors whose gram is wanted in their text."""
     place, gram, first, last, text = anchors(data, offsets)
     asked = np.unique(wanted_text.astype(np.uint64) << np.uint64(32) | wanted.view(np.uint32))
-    own = text.astype(np.uint64) << np.uint64(32) | gram.astype(np.uint32)
+    own = text.astype(np.uint64) << np.uint64(32) | _tag(gram)
     at = np.minimum(np.searchsorted(asked, own), max(len(asked) - 1, 0))
     keep = asked[at] == own if len(asked) else np.zeros(len(own), bool)
     place, first, last, text = place[keep], first[keep], last[keep], text[keep]
@@ -331,7 +341,8 @@ def _by_document(docs: DataFrame) -> tuple[DataFrame, int]:
     rows = docs.filter(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"), F.sha2("text", 256).alias("digest"), "text"
     )
-    buckets = max(ceil(total / BUCKET), spark.sparkContext.defaultParallelism)
+    # with fewer buckets than shuffle partitions Spark would move the texts again for the joins
+    buckets = max(ceil(total / BUCKET), int(spark.conf.get("spark.sql.shuffle.partitions")))
     (
         rows.repartition(buckets, "doc_id")
         .write.bucketBy(buckets, "doc_id")
@@ -339,9 +350,16 @@ def _by_document(docs: DataFrame) -> tuple[DataFrame, int]:
         .option("compression", "zstd")
         .saveAsTable(name)
     )
+    free_shuffles(spark)
     return spark.table(name), total
 
 
+def _same_row(other: str) -> Column:
+    """Equality of id and version in which only the id is a join key: the texts are bucketed by it
+    alone, and are joined where they lie only if it is the whole key."""
+    return (F.col("doc_id") == F.col(f"{other}_id")) & (F.col("version").bitwiseXOR(F.col(f"{other}_version")) == 0)
+
+
 def removed(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the kept bytes."""
     texts, total = _by_document(docs)
@@ -351,7 +369,8 @@ def removed(docs: DataFrame) -> DataFrame:
         texts.select("doc_id", "version", "digest").join(same, "digest").filter(F.col("doc_id") > F.col("lowest"))
         .select("doc_id", "version").distinct()
     )
-    single = texts.join(copies, ["doc_id", "version"], "left_anti")
+    copies = copies.select(F.col("doc_id").alias("copy_id"), F.col("version").alias("copy_version"))
+    single = texts.join(copies, _same_row("copy"), "left_anti")
     grams = (
         single.select("doc_id", "text").mapInArrow(_send_grams(groups), PACKED).groupBy("key")
         .applyInArrow(_shared_grams, "doc_id long, gram int").groupBy("doc_id").agg(F.collect_list("gram").alias("grams"))
@@ -362,10 +381,10 @@ def removed(docs: DataFrame) -> DataFrame:
         .applyInArrow(_lost_windows, "doc_id long, version long, start long, mask int")
         .groupBy("doc_id", "version").agg(F.collect_list(F.struct(F.col("start"), F.col("mask"))).alias("lost"))
     )
+    windows = windows.select(F.col("doc_id").alias("lost_id"), F.col("version").alias("lost_version"), "lost")
     marked = (
-        texts.join(windows, ["doc_id", "version"], "left")
-        .join(copies.withColumn("copy", F.lit(True)), ["doc_id", "version"], "left")
-        .select("doc_id", "text", F.coalesce("copy", F.lit(False)).alias("copy"), "lost.start", "lost.mask")
+        texts.join(windows, _same_row("lost"), "left").join(copies, _same_row("copy"), "left")
+        .select("doc_id", "text", F.col("copy_id").isNotNull().alias("copy"), "lost.start", "lost.mask")
     )
     nameless = docs.filter(F.col("doc_id").isNull()).select(
         F.lit(None).cast("long").alias("doc_id"), "text", F.lit(False).alias("copy"),
