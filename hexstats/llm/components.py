@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,3 +43,15 @@ def _ordered(links: DataFrame) -> DataFrame:
 
 def _fingerprint(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first())
+
+
+def local_roots(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each of a task's ids the smallest that its links, pairs of positions (i, j), lead to."""
+    label = np.argsort(np.argsort(ids, kind="stable"), kind="stable")
+    while True:
+        before = label.copy()
+        low = np.minimum(label[i], label[j])
+        np.minimum.at(label, i, low)
+        np.minimum.at(label, j, low)
+        if (label == before).all():
+            return np.sort(ids)[label]

@@ -8,7 +8,8 @@ signature. Documents that agree in a band of coordinates are candidates, and are
 
 Documents with equal multisets are one class from the start; only one of each class goes on. In each
 bucket all are compared with the one that shares most buckets, then those that are still in different
-components with each other, so a bucket of near copies does not turn into all its pairs.
+components with each other, so a bucket of near copies does not turn into all its pairs. That second
+step multiplies blocks of a bucket inside tasks and returns one link per document, never the pairs.
 
 Edge cases: a text of one to four words is a single run of all its words; one without words (or null)
 is like nothing else; rows with the same id are one document, seen through the smallest of its run
@@ -19,6 +20,8 @@ after its smallest id, which is the one that stays.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 
 from hexstats.llm import flat
 from hexstats.llm.common import map_texts
-from hexstats.llm.components import components
+from hexstats.llm.components import components, local_roots
 from hexstats.sources.staging import stage
 
 WORDS = 5
@@ -37,6 +40,8 @@ BANDS, ROWS = 24, 5
 COORDINATES = BANDS * ROWS
 #: darts per document in the first throw: enough that a coordinate stays empty in one document of 20
 DARTS = COORDINATES * (np.log(COORDINATES) + 3)
+#: documents of a bucket that meet in one task, and runs that are multiplied at a time
+BLOCK, COLUMNS = 1024, 4096
 #: limits of the rank cells below 1; from there on a cell is 1 long
 _FINE = np.array([0, 1 / 16, 1 / 8, 1 / 4, 1 / 2])
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -83,7 +88,7 @@ def _throw(units: np.ndarray, text: np.ndarray, limit: np.ndarray, out: np.ndarr
     """Throw the darts of all units whose rank is below the limit of their text."""
     fine = np.searchsorted(_FINE, limit)  # cells that begin below the limit
     cells = np.where(limit > 1, len(_FINE) + np.ceil(limit).astype(np.int64) - 1, fine)
-    for part in np.array_split(np.arange(len(units)), max(1, int(cells[text].sum()) >> 20)):
+    for part in np.array_split(np.arange(len(units)), max(1, int(cells[text].sum()) >> 18)):
         count = cells[text[part]]
         unit = np.repeat(part, count)
         cell = flat.spans(np.zeros(len(part), np.int64), count)
@@ -113,7 +118,7 @@ def _throw(units: np.ndarray, text: np.ndarray, limit: np.ndarray, out: np.ndarr
 def sketches(docs: DataFrame) -> DataFrame:
     """(doc_id, runs, k1, k2, bands): size, identity of the multiset, and a key per band."""
 
-    def sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def sketch(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         parts = []
         for _, data, offsets in flat.slices(batch.column(1)):
             units, text = runs(data, offsets)
@@ -128,7 +133,7 @@ def sketches(docs: DataFrame) -> DataFrame:
         size, k1, k2, keys = (np.concatenate(p) for p in zip(*parts, strict=True))
         bands = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32()), pa.array(keys.reshape(-1)))
         columns = [batch.column(0).cast(pa.int64()), pa.array(size, pa.int64()), pa.array(k1), pa.array(k2), bands]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "runs", "k1", "k2", "bands"])
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "runs", "k1", "k2", "bands"])
 
     return map_texts(docs, sketch, SCHEMA, "doc_id", "text")
 
@@ -142,13 +147,13 @@ def _sums(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
 def run_lists(docs: DataFrame) -> DataFrame:
     """(doc_id, units): hashes of the runs of every document."""
 
-    def collect(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def collect(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         lists = []
         for _, data, offsets in flat.slices(batch.column(1)):
             units, text = runs(data, offsets)
             limits = np.searchsorted(text, np.arange(len(offsets)))
             lists.append(pa.ListArray.from_arrays(pa.array(limits, pa.int32()), pa.array(units.view(np.int64))))
-        return pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.concat_arrays(lists)], ["doc_id", "units"])
+        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.concat_arrays(lists)], ["doc_id", "units"])
 
     return map_texts(docs, collect, "doc_id long, units array<long>", "doc_id", "text")
 
@@ -166,6 +171,48 @@ def _size_fits(n: Column, m: Column) -> Column:
     return SIMILAR[1] * F.least(n, m) >= SIMILAR[0] * F.greatest(n, m)
 
 
+def _across(members: DataFrame, lists: DataFrame) -> DataFrame:
+    """Links (a, b) between documents of a bucket (bucket, doc, docs, component) in different components.
+
+    A bucket's documents are dealt to blocks, and every two blocks meet in a task of their own.
+    """
+    blocks = F.ceil(F.col("docs") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("doc"), blocks).cast("int")
+    spread = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    keyed = spread.select(
+        "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "doc", "component"
+    )
+    full = keyed.join(lists.select(F.col("doc_id").alias("doc"), "units"), "doc")
+    return full.groupBy("bucket", "low", "high").applyInArrow(_linked, "a long, b long")
+
+
+def _linked(group: pa.Table) -> pa.Table:
+    """(document, the smallest one it is linked to within the group) across components."""
+    ids, component = group.column("doc").to_numpy(), group.column("component").to_numpy()
+    units = group.column("units").combine_chunks()
+    size = np.diff(units.offsets.to_numpy())
+    row = np.repeat(np.arange(len(ids)), size)
+    _, column, times = np.unique(units.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    # only runs that several documents have can be shared
+    several = times > 1
+    renumbered = np.cumsum(several) - 1
+    keep = several[column]
+    row, column = row[keep], renumbered[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    shared = np.zeros((len(ids), len(ids)), np.float32)
+    for begin in range(0, int(several.sum()), COLUMNS):
+        low, high = np.searchsorted(column, (begin, begin + COLUMNS))
+        part = np.zeros((len(ids), COLUMNS), np.float32)
+        part[row[low:high], column[low:high] - begin] = 1
+        shared += part @ part.T
+    every = size[:, None] + size[None, :] - shared
+    linked = (SIMILAR[1] * shared >= SIMILAR[0] * every) & (component[:, None] != component[None, :])
+    i, j = np.nonzero(linked)
+    some = np.unique(i)
+    return pa.table({"a": ids[some], "b": local_roots(ids, i, j)[some]})
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """(doc_id, runs, copy_of, component_id), one row per id that is not null.
 
@@ -191,7 +238,7 @@ def classes(docs: DataFrame) -> DataFrame:
     members = stage(keys.join(crowded, "bucket"))
     # in each bucket, the document with most company over all its buckets is the one to compare with
     company = members.groupBy("doc").agg(F.sum("docs").alias("company"))
-    ranked = stage(members.join(company, "doc").select("doc", "runs", "bucket", "company"))
+    ranked = stage(members.join(company, "doc").select("doc", "runs", "bucket", "docs", "company"))
     hubs = ranked.groupBy("bucket").agg(F.max(F.struct("company", -F.col("doc"), "runs")).alias("hub")).select(
         "bucket", (-F.col("hub.col2")).alias("hub"), F.col("hub.runs").alias("hub_runs")
     )
@@ -202,29 +249,20 @@ def classes(docs: DataFrame) -> DataFrame:
         .distinct()
     )
     needed = ranked.select(F.col("doc").alias("doc_id")).distinct()
-    lists = stage(run_lists(docs.select("doc_id", "text").join(needed, "doc_id", "left_semi"))
-                  .groupBy("doc_id").agg(F.min("units").alias("units")))
+    # the ids grow with the data: never broadcast, so that the plan is the same at every size
+    wanted = docs.select("doc_id", "text").join(needed.hint("merge"), "doc_id", "left_semi")
+    lists = stage(run_lists(wanted).groupBy("doc_id").agg(F.min("units").alias("units")))
     links = stage(_verified(stars, lists))
     grouped = components(links)
-    # buckets that still hold several components: compare across components, largest excepted
+    # where the others of a bucket are still in several components, compare across components
+    others = ranked.join(hubs.select("bucket", "hub"), "bucket").filter(F.col("doc") != F.col("hub"))
     placed = stage(
-        ranked.join(grouped, ranked["doc"] == grouped["id"], "left")
-        .select("bucket", "doc", "runs", F.coalesce("component", "doc").alias("component"))
+        others.join(grouped, others["doc"] == grouped["id"], "left")
+        .select("bucket", "doc", "docs", F.coalesce("component", "doc").alias("component"))
     )
     sizes = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-    mixed = sizes.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("kinds"), F.max(F.struct("n", -F.col("component"))).alias("top")
-    ).filter(F.col("kinds") > 1).select("bucket", (-F.col("top.col2")).alias("largest"))
-    open_ = stage(placed.join(mixed, "bucket"))
-    minor = open_.filter(F.col("component") != F.col("largest")).select(
-        "bucket", F.col("doc").alias("a"), F.col("runs").alias("runs_a"), F.col("component").alias("component_a")
-    )
-    across = minor.join(open_, "bucket").filter(
-        (F.col("component") != F.col("component_a"))
-        & ((F.col("a") < F.col("doc")) | (F.col("component") == F.col("largest")))
-        & _size_fits(F.col("runs"), F.col("runs_a"))
-    ).select("a", F.col("doc").alias("b")).distinct()
-    more = _verified(across, lists)
+    mixed = sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("kinds")).filter(F.col("kinds") > 1)
+    more = _across(placed.join(mixed.select("bucket"), "bucket"), lists)
     final = components(links.unionByName(more))
     return named.join(final, named["copy_of"] == final["id"], "left").select(
         "doc_id", "runs", "copy_of", F.coalesce("component", "copy_of").alias("component_id")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexstats.llm.components import components
+from hexstats.llm.components import components, local_roots
 from hexstats.sources.staging import stage
 
 COSINE = 0.9
@@ -175,19 +175,8 @@ def _linked(group: pa.Table) -> pa.Table:
         found.append(np.stack([i, j + shift]).astype(np.int32))
     i, j = np.concatenate(found, axis=1)
     links = np.bincount(i, minlength=len(ids)) + np.bincount(j, minlength=len(ids))
-    # the smallest id reachable within this group
-    rank = np.argsort(np.argsort(ids, kind="stable"), kind="stable")
-    label = rank.copy()
-    while True:
-        before = label.copy()
-        low = np.minimum(label[i], label[j])
-        np.minimum.at(label, i, low)
-        np.minimum.at(label, j, low)
-        if (label == before).all():
-            break
     some = links > 0
-    root = np.sort(ids)[label]
-    return pa.table({"vec_id": ids[some], "links": links[some], "root": root[some]})
+    return pa.table({"vec_id": ids[some], "links": links[some], "root": local_roots(ids, i, j)[some]})
 
 
 def near_copies(vectors: DataFrame) -> DataFrame:
