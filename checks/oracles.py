@@ -253,20 +253,23 @@ _TRANSFORM_VALUES = ("stddev", "mean", "debug_max", "lower_bound", "upper_bound"
 
 
 def candidate_pairs(metadata: str, axis: str) -> str:
-    live = f"(select * from {metadata} where state not in {DORMANT})"
-    return f"""select distinct a.numerator_uuid as x_numerator_id, a.denominator_uuid as x_denominator_id,
-        b.numerator_uuid as y_numerator_id, b.denominator_uuid as y_denominator_id
-      from {axis} a join {live} xn on a.numerator_uuid = xn.internal_id and not xn.is_base
-      join {live} xd on a.denominator_uuid = xd.internal_id
-      join {axis} b on a.quality > .5 and b.quality > .5 and a.numerator_uuid <> b.numerator_uuid
-      join {live} yn on b.numerator_uuid = yn.internal_id and xn.external_id <> yn.external_id
-      join {live} yd on b.denominator_uuid = yd.internal_id"""
+    """Well-rated axes of live indicators first, then their combinations."""
+    live = f"state not in {DORMANT}"
+    good = f"""(select distinct numerator_uuid, denominator_uuid, external_id, is_base
+        from {axis} join {metadata} on internal_id = numerator_uuid and {live}
+        where {axis}.quality > .5 and denominator_uuid in (select internal_id from {metadata} where {live}))"""
+    return f"""select x.numerator_uuid as x_numerator_id, x.denominator_uuid as x_denominator_id,
+        y.numerator_uuid as y_numerator_id, y.denominator_uuid as y_denominator_id
+      from {good} x join {good} y on x.external_id <> y.external_id and x.numerator_uuid <> y.numerator_uuid
+      where not x.is_base"""
 
 
 def pruned(pairs: str) -> str:
-    return f"""select {_PAIR} from {pairs} except
-      select y_numerator_id, y_denominator_id, x_numerator_id, x_denominator_id from {pairs}
-      where y_numerator_id < x_numerator_id"""
+    """Without the pairs whose mirror is there too and begins with the larger numerator."""
+    return f"""select p.* from {pairs} p anti join {pairs} m
+      on m.x_numerator_id > p.x_numerator_id
+        and m.x_numerator_id = p.y_numerator_id and m.x_denominator_id = p.y_denominator_id
+        and m.y_numerator_id = p.x_numerator_id and m.y_denominator_id = p.x_denominator_id"""
 
 
 CORRELATION = cte(
