@@ -4,7 +4,30 @@ from __future__ import annotations
 
 from checks import fixture as fx
 from hexstats import schemas
-from hexstats.functions.grid import AUTHALIC_RADIUS_KM, AVG_AREA_KM2, ECCENTRICITY_SQ, MERCATOR_RADIUS_M
+
+# Fixed values, written out here so that the checks don't lean on the library: average cell area by
+# resolution, and the ellipsoid.
+AVG_AREA_KM2 = (
+    4357449.416078383,
+    609788.4417941332,
+    86801.7803989972,
+    12393.43465508816,
+    1770.347654491307,
+    252.9038581819449,
+    36.12906216441245,
+    5.161293359717191,
+    0.7373275975944177,
+    0.1053325134272067,
+    0.01504750190766435,
+    0.002149643129451879,
+    0.000307091875631606,
+    4.387026794728296e-05,
+    6.267181135324313e-06,
+    8.95311590760579e-07,
+)
+ECCENTRICITY_SQ = 0.0066943799901413165
+AUTHALIC_RADIUS_KM = 6371.0071809
+MERCATOR_RADIUS_M = 6378137.0
 
 _E2 = f"{ECCENTRICITY_SQ!r}::double"
 ONE, AREA, POP = fx.ONE, fx.AREA, fx.POPULATION
