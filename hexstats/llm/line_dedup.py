@@ -44,7 +44,8 @@ def _lines(docs: DataFrame) -> DataFrame:
         F.xxhash64("text").alias("version"),
         F.posexplode(F.split("text", "\n")).alias("line", "content"),
     ).select("doc", "version", "line", template(F.col("content")).alias("template"))
-    words = F.length("template") - F.length(F.replace("template", F.lit(" "), F.lit(""))) + 1
+    # sizes in bytes are known without a look at the text
+    words = F.octet_length("template") - F.octet_length(F.replace("template", F.lit(" "), F.lit(""))) + 1
     lead = F.substring_index("template", " ", DEPTH)
     return (
         lines.filter(F.col("template") != "")
