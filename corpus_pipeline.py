@@ -24,8 +24,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines whose template recurs."""
-    return line_dedup.dedup_lines(docs)
+    """Documents without lines whose template recurs, or long passages that two documents have."""
+    return line_dedup.dedup_lines(docs, passage_words=line_dedup.PASSAGE_WORDS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,9 @@ Words with digits are variable fields. A line goes down a tree of fixed depth: f
 of words, then by its first words. In a leaf that holds several templates, the words that most of
 them share at a place form the leaf's own template, the other places are variable; templates close
 enough to it are taken for the same. A template found in at least ``min_docs`` documents recurs: it
-is kept where it comes first (smallest doc_id, then line) and dropped everywhere else.
+is kept where it comes first (smallest doc_id, then line) and dropped everywhere else. With
+``passage_words``, a line of more words than that also recurs once its exact words, digits included,
+stand in two documents; the pipeline asks for that, the query's SQL knows ``min_docs`` only.
 
 Edge cases: lines without a word are never templates and stay; a null or empty text has nothing to
 drop; a document that loses all its lines with words goes with them; rows equal in id and text are
@@ -22,6 +24,8 @@ from hexstats.sources.staging import stage
 
 #: documents a template must be found in
 MIN_DOCS = 3
+#: words beyond which the pipeline takes a line of the same exact words for a repeated passage, and documents it must be in
+PASSAGE_WORDS, PASSAGE_DOCS = 50, 2
 #: leading words that the tree branches by
 DEPTH = 3
 #: share of places at which a template must agree with that of its leaf
@@ -37,13 +41,19 @@ def template(line: Column) -> Column:
     return F.trim(F.when(line.rlike(r"[0-9\x09-\x0D]|\x20\x20"), marked).otherwise(line))
 
 
+def exact(line: Column) -> Column:
+    """A line's words with one space between."""
+    spaced = F.regexp_replace(line, SPACES, " ")
+    return F.trim(F.when(line.rlike(r"[\x09-\x0D]|\x20\x20"), spaced).otherwise(line))
+
+
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc, version, line, template, words, leaf) of the lines with words."""
+    """(doc, version, line, content, template, words, leaf) of the lines with words."""
     lines = docs.select(
         F.col("doc_id").alias("doc"),
         F.xxhash64("text").alias("version"),
         F.posexplode(F.split("text", "\n")).alias("line", "content"),
-    ).select("doc", "version", "line", template(F.col("content")).alias("template"))
+    ).select("doc", "version", "line", "content", template(F.col("content")).alias("template"))
     # sizes in bytes are known without a look at the text
     words = F.octet_length("template") - F.octet_length(F.replace("template", F.lit(" "), F.lit(""))) + 1
     lead = F.substring_index("template", " ", DEPTH)
@@ -87,9 +97,16 @@ def _generalised(docs: DataFrame, parsed: DataFrame) -> DataFrame:
     return near.join(lengths, ["leaf", "k1", "k2"]).filter(close).select("k1", "k2", "leaf")
 
 
-def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def _passage_key(passage_words: int) -> list[Column]:
+    """128 bits that stand for the exact words of a long line; null for other lines."""
+    long, words = F.col("words") > passage_words, exact(F.col("content"))
+    return [F.when(long, F.xxhash64(F.lit(k), words)).alias(f"x{k}") for k in (2, 3)]
+
+
+def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, passage_words: int | None = None) -> DataFrame:
     """(doc, version, line) of every line that goes."""
-    parsed = stage(_lines(docs).select("doc", "version", "line", "words", "leaf", *_key()))
+    passages = [] if passage_words is None else _passage_key(passage_words)
+    parsed = stage(_lines(docs).select("doc", "version", "line", "words", "leaf", *_key(), *passages))
     general = stage(_generalised(docs, parsed))
     # the id of a line's template: its leaf when it is close to the leaf's template, else its own
     own = F.struct(F.col("k1").alias("a"), F.col("k2").alias("b"))
@@ -97,33 +114,43 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     named = parsed.join(general.withColumnRenamed("leaf", "near_leaf"), ["k1", "k2"], "left").select(
         "doc", "version", "line", F.when(F.col("near_leaf").isNotNull(), by_leaf).otherwise(own).alias("id")
     )
-    named = named.select("doc", "version", "line", F.col("id.a").alias("a"), F.coalesce("id.b", F.lit(0)).alias("b"))
+    named = named.select(
+        "doc", "version", "line", F.col("id.a").alias("a"), F.coalesce("id.b", F.lit(0)).alias("b"),
+        F.lit(min_docs).alias("enough"),
+    )
+    if passages:
+        # a passage is part of one template, so the first line of the template is first of its passage too
+        long = parsed.filter(F.col("x2").isNotNull())
+        named = named.unionByName(
+            long.select("doc", "version", "line", F.col("x2").alias("a"), F.col("x3").alias("b"), F.lit(PASSAGE_DOCS).alias("enough"))
+        )
     # numbers of fixed width throughout, so that all this is aggregated by hash
     recurring = (
         named.withColumn("nth", F.coalesce("doc", F.lit(-(1 << 63))))
-        .groupBy("a", "b", "nth")
+        .groupBy("a", "b", "enough", "nth")
         .agg(F.min("line").alias("line"), F.min_by("version", "line").alias("version"))
-        .groupBy("a", "b")
+        .groupBy("a", "b", "enough")
         .agg(
             F.count(F.lit(1)).alias("docs"),
             F.min("nth").alias("nth"),
             F.min_by("line", "nth").alias("first_line"),
             F.min_by("version", "nth").alias("first_version"),
         )
-        .filter(F.col("docs") >= min_docs)
+        .filter(F.col("docs") >= F.col("enough"))
     )
     is_first = (
         (F.coalesce("doc", F.lit(-(1 << 63))) == F.col("nth"))
         & (F.col("version") == F.col("first_version"))
         & (F.col("line") == F.col("first_line"))
     )
-    return named.join(recurring, ["a", "b"]).filter(~is_first).select("doc", "version", "line")
+    gone = named.join(recurring, ["a", "b", "enough"]).filter(~is_first).select("doc", "version", "line")
+    return gone.distinct() if passages else gone
 
 
-def with_kept_text(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def with_kept_text(docs: DataFrame, min_docs: int = MIN_DOCS, passage_words: int | None = None) -> DataFrame:
     """(_row, kept, n_lines, n_dropped, emptied): each document as a struct, and what is left of it."""
     gone = (
-        dropped_lines(docs, min_docs)
+        dropped_lines(docs, min_docs, passage_words)
         .groupBy("doc", "version")
         .agg(F.collect_list("line").alias("gone"))  # at most the lines of one text
     )
@@ -144,9 +171,9 @@ def with_kept_text(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     ).withColumn("emptied", (F.col("n_dropped") > 0) & ~F.col("kept").rlike(r"[^\x20\x09-\x0D]"))
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, passage_words: int | None = None) -> DataFrame:
     """``docs`` with recurring lines taken out of ``text``, without the documents nothing is left of."""
-    kept = with_kept_text(docs, min_docs).filter(~F.col("emptied"))
+    kept = with_kept_text(docs, min_docs, passage_words).filter(~F.col("emptied"))
     return kept.select(*[F.col("kept").alias("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns])
 
 

@@ -73,6 +73,24 @@ def test_lines(docs):
     assert texts[31].endswith("reserved.") is False and 11 in texts and texts[5] is None
 
 
+def test_long_passages_of_two_documents(spark, sf_dir):
+    words = [f"{a}{b}" for a in "abcdefgh" for b in "klmnopqr"]
+    long, dated = " ".join(words[:51]), " ".join([*words[:30:-1], "2024", *words[:25]])
+    short, other = " ".join(words[:50]), dated.replace("2024", "2025")
+    rows = [
+        (1, f"one\n{long}\n{dated}\n{short}"), (2, f"two\n  {long.replace(' ', '  ')}\n{dated}\n{short}"),
+        (3, f"three\n{other}"), (4, f"four\n{long}x\n{long}x"), (None, f"five\n{' '.join(words[:60])}"),
+        (6, " ".join(words[:60])),
+    ]
+    table = spark.createDataFrame([(*r, "en", "s", 1) for r in rows[:3]], "doc_id long, text string, lang string, source string, n_chars long")
+    # min_docs out of reach: only passages count
+    gone = line_dedup.dropped_lines(spark.createDataFrame(rows, "doc_id long, text string"), 9, line_dedup.PASSAGE_WORDS)
+    assert sorted((r["doc"], r["line"]) for r in gone.collect()) == [(2, 1), (2, 2), (6, 0)]
+    # the pipeline has both: other digits need a third document, the same ones do not
+    kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup_stage(spark, table, sf_dir).collect()}
+    assert kept == {1: f"one\n{long}\n{dated}\n{short}", 2: f"two\n{short}", 3: "three"}  # dated: three documents
+
+
 def test_mixing(docs):
     rows = mixing.mixed_sizes(docs).collect()
     assert all(r["taken"] <= 3 * r["size"] for r in rows)
