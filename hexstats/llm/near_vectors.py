@@ -4,7 +4,8 @@ Vectors are assigned to the nearest of a few centres, found by spherical k-means
 vector x of cell c can only have a partner in cell d if it is close enough to the plane between the two
 centres: x.c - x.d <= |x - y| * |c - d|, and |x - y| is known from the cosine. So each vector is
 compared within its cell and, as a guest, in the later cells that this bound admits; every pair of vectors
-meets at most once and every pair that is similar enough meets.
+meets at most once and every pair that is similar enough meets. The bound has an absolute slack for
+rounding, and centres that nearly equal another are left out, so equal vectors always meet.
 
 Cells are cut into blocks of about ``BLOCK`` vectors, and a task multiplies one block with another. It
 returns link counts and, per vector, the root of its local component, never the pairs; so a cell or a
@@ -34,6 +35,8 @@ PER_CELL, MOST_CELLS = 4096, 256
 SAMPLE, ROUNDS = 8192, 6
 #: rows of a block that are multiplied at a time
 ROWS = 512
+#: distance below which centres are one, and slack of the bound against the rounding of products
+SAME, SLACK = 1e-6, 1e-9
 ASSIGNED = "vec_id long, cell int, vector binary, visits array<int>"
 PAIRED = "pair long, guest boolean, vec_id long, vector binary"
 LINKED = "vec_id long, links long, root long"
@@ -76,7 +79,20 @@ def centres(sample: np.ndarray, count: int) -> np.ndarray:
         np.add.at(sums, near, sample)
         length = np.linalg.norm(sums, axis=1, keepdims=True)
         found = np.where(length > 1e-9, sums / np.maximum(length, 1e-9), found)
-    return found
+    return _apart(found)
+
+
+def _apart(found: np.ndarray) -> np.ndarray:
+    """The centres without those that (nearly) equal an earlier one."""
+    kept = np.zeros(len(found), bool)
+    for k in range(len(found)):  # at most MOST_CELLS
+        kept[k] = not (np.linalg.norm(found[:k][kept[:k]] - found[k], axis=1) < SAME).any()
+    return found[kept]
+
+
+def _admitted(margin: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """Whether a partner may be as far over; products of equal vectors differ by their place in a matrix."""
+    return margin <= bound + SLACK
 
 
 def _assigned(vectors: DataFrame, found: np.ndarray) -> DataFrame:
@@ -92,7 +108,7 @@ def _assigned(vectors: DataFrame, found: np.ndarray) -> DataFrame:
             near = unit @ found.T
             cell = near.argmax(axis=1)
             margin = near[np.arange(len(cell)), cell][:, None] - near
-            visits = (margin <= apart[cell]) & (np.arange(len(found)) > cell[:, None])
+            visits = _admitted(margin, apart[cell]) & (np.arange(len(found)) > cell[:, None])
             limits = np.append(0, np.cumsum(visits.sum(axis=1)))
             lists = pa.ListArray.from_arrays(pa.array(limits, pa.int32()), pa.array(np.nonzero(visits)[1], pa.int32()))
             raw = unit.tobytes()

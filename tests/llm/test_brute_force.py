@@ -42,6 +42,36 @@ def test_vectors(spark, monkeypatch):
     assert all(r["kept"] == (k == label[k]) for k, r in found.items())
 
 
+def test_bound_has_slack_for_rounding():
+    # equal centres: the distance is 0, the margin an ulp
+    assert near_vectors._admitted(np.array([[0.0, 2.0**-52]]), np.zeros((1, 2))).all()
+    assert not near_vectors._admitted(np.array([[1e-6]]), np.zeros((1, 1))).any()
+
+
+@pytest.mark.parametrize("size", [1, 7, 64, 1000])
+def test_copies_of_a_third(spark, monkeypatch, size):
+    monkeypatch.setattr(near_vectors, "BLOCK", 32)
+    monkeypatch.setattr(near_vectors, "PER_CELL", 20)
+    rng = np.random.default_rng(size)
+    copy = rng.normal(size=64)
+    rows = np.concatenate([np.repeat(copy[None], 110, 0), rng.normal(size=(220, 64))])[rng.permutation(330)]
+    count = 330 // 20 // 2 * 2 + 1
+    unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    # no two centres are (nearly) the same one
+    found = near_vectors.centres(unit, count)
+    gaps = np.linalg.norm(found[:, None] - found[None], axis=2)
+    assert gaps[~np.eye(len(found), dtype=bool)].min() > 1e-7
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    try:
+        got = by_id(near_vectors.near_copies(table), "vec_id")
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    copies = [k for k, v in enumerate(rows) if (v == copy).all()]
+    assert {(got[k]["n_links"], got[k]["component_id"]) for k in copies} == {(109, min(copies))}
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0]), (2, [2.0]), (3, [0.0, 0.0]), (4, None), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0]),
