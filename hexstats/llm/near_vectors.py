@@ -35,6 +35,8 @@ PER_CELL, MOST_CELLS = 4096, 256
 SAMPLE, ROUNDS = 8192, 6
 #: rows of a block that are multiplied at a time
 ROWS = 512
+#: rows that a task gathers before it sends them on
+SENT = 20_000
 #: distance below which centres are one, and slack of the bound against the rounding of products
 SAME, SLACK = 1e-6, 1e-9
 ASSIGNED = "vec_id long, cell int, vector binary, visits array<int>"
@@ -122,6 +124,17 @@ def _assigned(vectors: DataFrame, found: np.ndarray) -> DataFrame:
     return vectors.mapInArrow(assign, ASSIGNED)
 
 
+def _layout(size: np.ndarray, met: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(first block of each cell, earlier cells that send guests to each cell): bounded by the cells alone."""
+    first = np.append(0, np.cumsum(np.maximum(-(-size // BLOCK), 1)))
+    return first, [np.flatnonzero(met[:c, c]) for c in range(len(size))]
+
+
+def _senders_of(block: int, cell: int, first: np.ndarray, senders: list[np.ndarray]) -> np.ndarray:
+    """Blocks before a block that send guests to it: those of cells that visit, and earlier ones of its cell."""
+    return np.concatenate([*(np.arange(first[c], first[c + 1]) for c in senders[cell]), np.arange(first[cell], block)])
+
+
 def _pairs_of_blocks(assigned: DataFrame, cells: int) -> DataFrame:
     """Every vector once for each pair of blocks it takes part in."""
     size = np.zeros(cells, np.int64)
@@ -131,14 +144,8 @@ def _pairs_of_blocks(assigned: DataFrame, cells: int) -> DataFrame:
     visits = assigned.select("cell", F.explode("visits").alias("other")).groupBy("cell", "other").count()
     for row in visits.collect():  # at most a row per pair of cells
         met[row["cell"], row["other"]] = True
-    blocks = np.maximum(-(-size // BLOCK), 1)
-    first = np.append(0, np.cumsum(blocks))
-    total = int(first[-1])
-    cell_of = np.repeat(np.arange(cells), blocks)
-    # blocks before each block that send guests to it: earlier ones of its cell, and those of cells that visit
-    hosts = [
-        np.array([u for u in range(v) if met[cell_of[u], cell_of[v]]], np.int64) * total + v for v in range(total)
-    ]
+    first, senders = _layout(size, met)
+    blocks, total = np.diff(first), int(first[-1])
 
     def spread(batches):
         for batch in batches:
@@ -147,25 +154,25 @@ def _pairs_of_blocks(assigned: DataFrame, cells: int) -> DataFrame:
             ids = batch.column(0).to_numpy()
             cell = batch.column(1).to_numpy()
             own = first[cell] + (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % blocks[cell]
-            rows, keys, guest = [], [], []
-            for k, visited in enumerate(batch.column(3).to_pylist()):
-                u = int(own[k])
-                later = np.concatenate(
-                    [np.arange(u, first[cell[k] + 1]), *(np.arange(first[c], first[c + 1]) for c in visited)]
-                )
+            rows, keys, guest, held = [], [], [], 0
+            vectors = batch.column(3).to_pylist()
+            for k, visited in enumerate(vectors):
+                u, c = int(own[k]), int(cell[k])
+                later = np.concatenate([np.arange(u, first[c + 1]), *(np.arange(first[d], first[d + 1]) for d in visited)])
                 keys_ = u * total + later
                 keys_[0] = -1 - u  # the block with itself
-                for key, role in ((keys_, True), (hosts[u], False)):
+                for key, role in ((keys_, True), (_senders_of(u, c, first, senders) * total + u, False)):
                     rows.append(np.full(len(key), k))
                     keys.append(key)
                     guest.append(np.full(len(key), role))
-            rows, keys, guest = np.concatenate(rows), np.concatenate(keys), np.concatenate(guest)
-            for part in np.array_split(np.arange(len(rows)), max(1, len(rows) // 20_000)):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[part]), pa.array(guest[part]), batch.column(0).take(pa.array(rows[part])),
-                     batch.column(2).take(pa.array(rows[part]))],
-                    ["pair", "guest", "vec_id", "vector"],
-                )
+                    held += len(key)
+                if held >= SENT or k == len(vectors) - 1:
+                    at, key, role = np.concatenate(rows), np.concatenate(keys), np.concatenate(guest)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key), pa.array(role), batch.column(0).take(pa.array(at)), batch.column(2).take(pa.array(at))],
+                        ["pair", "guest", "vec_id", "vector"],
+                    )
+                    rows, keys, guest, held = [], [], [], 0
 
     return assigned.mapInArrow(spread, PAIRED)
 

@@ -72,6 +72,18 @@ def test_copies_of_a_third(spark, monkeypatch, size):
     assert {(got[k]["n_links"], got[k]["component_id"]) for k in copies} == {(109, min(copies))}
 
 
+def test_layout_is_bounded_by_cells(monkeypatch):
+    # 60 million vectors, all cells meet
+    first, senders = near_vectors._layout(np.full(256, 234_375), np.triu(np.ones((256, 256), bool)))
+    assert first[-1] > 29_000 and len(first) + sum(map(len, senders)) < 256 * 256
+    monkeypatch.setattr(near_vectors, "BLOCK", 10)
+    met = np.array([[1, 0, 1], [0, 1, 1], [0, 0, 1]], bool)
+    first, senders = near_vectors._layout(np.array([25, 0, 35]), met)
+    cell_of = [0, 0, 0, 1, 2, 2, 2, 2]
+    for v, c in enumerate(cell_of):
+        assert near_vectors._senders_of(v, c, first, senders).tolist() == [u for u in range(v) if met[cell_of[u], c]]
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0]), (2, [2.0]), (3, [0.0, 0.0]), (4, None), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0]),
