@@ -1,7 +1,8 @@
 r"""URL filters: fixed rules first, then a tree of path templates per host.
 
 Paths are cut into segments; variable ones become wildcards: those with digits, and all children of
-a node that has many different ones which hardly recur. Pages judged by a rule are the labelled
+a node that has many different ones which hardly recur, down to the deepest level that has such
+nodes (the query's SQL stops at the third, the deepest of the given tables). Pages judged by a rule are the labelled
 ones. Sibling templates whose labelled shares do not differ beyond chance are merged and share
 their counts. A template is rejected when its smoothed share of blocked pages is high enough.
 
@@ -14,14 +15,12 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hexstats.sources.staging import stage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: levels at which children are looked at for variability
-LEVELS = 3
 #: a node's children are variable beyond this many, if each has fewer pages than that on average
 MANY_CHILDREN, FEW_PAGES = 10, 3
 #: siblings are told apart beyond this many standard errors
@@ -82,8 +81,9 @@ def judged(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     tree = rows.groupBy("host", "segments").agg(
         F.count(F.lit(1)).alias("n"), F.count("ruled").alias("known"), F.count(F.when(F.col("ruled") == "block", 1)).alias("blocked")
     ).withColumn("original", F.col("segments"))
-    for level in range(1, LEVELS + 1):
-        tree = _generalised_tree(tree, level)
+    tree = stage(tree)
+    for level in range(1, _deepest(tree) + 1):
+        tree = stage(_generalised_tree(tree, level))
     tree = stage(tree.withColumn("template", F.array_join("segments", "/")).withColumn(
         "parent", F.array_join(F.slice("segments", 1, F.greatest(F.size("segments") - 1, F.lit(0))), "/")
     ))
@@ -97,6 +97,14 @@ def judged(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return joined.select("page_id", "url", "host", "path", "rule", "template", verdict.alias("verdict"))
 
 
+def _deepest(tree: DataFrame) -> int:
+    """The last level at which a node can have many children: enough paths of its host reach it."""
+    sizes = tree.groupBy("host", F.size("segments").alias("size")).agg(F.count(F.lit(1)).alias("paths"))
+    deeper = Window.partitionBy("host").orderBy(F.desc("size"))  # a row per host and length of path
+    reached = sizes.withColumn("paths", F.sum("paths").over(deeper)).filter(F.col("paths") > MANY_CHILDREN)
+    return reached.agg(F.max("size")).first()[0] or 0
+
+
 def _generalised_tree(tree: DataFrame, level: int) -> DataFrame:
     """Replace the segments of one level by a wildcard wherever the node's children are variable."""
     reaches = F.size("segments") >= level

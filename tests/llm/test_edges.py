@@ -150,6 +150,15 @@ def test_path_templates(spark):
     assert {found[k]["verdict"] for k in range(1, 80, 2)} == {"allow"}  # nothing is known about b.com
 
 
+def test_deep_path_templates(spark):
+    names = "ant bee cat dog elk fox gnu hen ibis jay koi lynx".split()
+    rows = [(k, f"http://a.com/p/q/r/{n}/{m}/photo") for k, (n, m) in enumerate(zip(names, reversed(names), strict=True))]
+    rows += [(50, "http://a.com/" + "x/" * 300)]  # deep, but alone
+    found = by_id(url_filter.judged(spark.createDataFrame(rows, "page_id long, url string")), "page_id")
+    assert {found[k]["template"] for k in range(len(names))} == {"p/q/r/*/*/photo"}
+    assert found[50]["template"] == "x/" * 300
+
+
 def test_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, work in corpus_pipeline.STAGES[:-1]:
