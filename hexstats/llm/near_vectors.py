@@ -12,7 +12,7 @@ returns link counts and, per vector, the root of its local component, never the
 group of copies may hold any share of all vectors.
 
 Edge cases: vectors that are null, zero or hold null or non-finite components link with nothing; shorter
-vectors count as filled up with zeros; rows with the same vec_id are one vector, the smallest of them;
+vectors count as filled up with zeros; rows with the same vec_id are one vector, the smallest usable one of them;
 rows without vec_id come back as they are, unlinked; ties at the limit are links; an empty table stays
 empty; other columns are ignored.
 """
@@ -65,9 +65,9 @@ def usable(vectors: DataFrame) -> DataFrame:
     return (
         vectors.filter(F.col("vec_id").isNotNull())
         .select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+        .filter(finite & F.exists(values, lambda x: x != 0))
         .groupBy("vec_id")
         .agg(F.min("embedding").alias("embedding"))
-        .filter(finite & F.exists(values, lambda x: x != 0))
     )
 
 

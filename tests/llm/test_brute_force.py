@@ -97,6 +97,13 @@ def test_odd_vectors(spark):
     assert near_vectors.near_copies(table.filter("vec_id = 3")).count() == 1
 
 
+def test_unusable_vector_hides_no_usable_one(spark):
+    rows = [(1, [1.0, 0.0]), (1, [None, 1.0]), (2, [1.0, 0.0]), (2, [0.0, 0.0]), (3, [None, 0.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    links = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in near_vectors.near_copies(table).collect()}
+    assert links == {1: (1, 1), 2: (1, 1), 3: (0, 3)}
+
+
 def test_licenses(spark, sf_dir):
     found = by_id(QUERIES["op3_license_scan"](spark, sf_dir))
     for i, text in texts(spark, sf_dir).items():
