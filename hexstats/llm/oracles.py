@@ -168,4 +168,57 @@ sized as materialized (
 
 OP9 = f"with {MIX.format(documents='documents')} select doc_id, size, source_size, target, size * copies as taken from mixed"
 
-ORACLES = {"op1_line_dedup": OP1, "op4_url_filter": OP4, "op9_mixing": OP9}
+OP11 = """
+with rows as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         [floor(256 * x::double) for x in embedding] as vector
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same, list_inner_product(a.vector, b.vector)::bigint as score
+  from rows a join rows b on a.vec_id <> b.vec_id
+  where a.vec_id % 50 = 0
+), positives as (
+  select anchor_id, other_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5
+), lower as (
+  select anchor_id, positive_id, other_id as negative_id, positive_score, score as negative_score,
+         (row_number() over (partition by anchor_id, positive_id order by score desc, other_id))::int as rank
+  from positives join scored using (anchor_id)
+  where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from lower where rank <= 3"""
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_TERMS = f"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')"
+
+OP12 = f"""
+with texts as (
+  select row_number() over () as doc, doc_id, {_TERMS} as words from documents
+), sizes as (
+  select doc, doc_id, len(words)::bigint as n from texts where len(words) > 0
+), total as (
+  select count(*)::bigint as docs, sum(n)::bigint as words from sizes
+), asked as (
+  select item_id, term, count(*)::bigint as times
+  from (select item_id, unnest({_TERMS}) as term from (select distinct item_id, text from benchmark)) group by all
+), held as (
+  select doc, term, count(*)::bigint as tf
+  from (select doc, unnest(words) as term from texts) where term in (select term from asked) group by all
+), weights as (
+  select term, floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)::double))::bigint as weight
+  from (select term, count(*)::bigint as df from held group by term), total
+), scored as (
+  select item_id, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // words))))::bigint as score
+  from asked join held using (term) join weights using (term) join sizes using (doc), total
+  group by item_id, doc, doc_id
+), ranked as (
+  select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::int as rank, doc_id, score
+  from scored where score > 0 and doc_id is not null
+)
+select * from ranked where rank <= 20"""
+
+ORACLES = {
+    "op1_line_dedup": OP1, "op4_url_filter": OP4, "op9_mixing": OP9, "op11_hard_negatives": OP11, "op12_lexical_search": OP12,
+}
