@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hexstats import schemas
@@ -63,11 +63,13 @@ def acceptable_uploads(staged: DataFrame, uploads: DataFrame, metadata: DataFram
     """(internal_id, upload_id) of the uploads to move now.
 
     Only versions whose copy is in progress wait for one, so an upload is consumed once. An upload with
-    a value that is not a number is left alone: it would count as the largest value of every
-    statistic; its version stays in progress and is removed as a failed upload.
+    a value that is not a number, or infinite, is left alone: it would count as the largest value of every
+    statistic, or turn its means and deviations into no number; its version stays in progress and is
+    removed as a failed upload.
     """
     waiting = metadata.filter(F.col("state") == schemas.COPY_IN_PROGRESS)
-    spoiled = staged.filter(F.isnan("indicator_value")).select("upload_id").distinct()
+    value = F.col("indicator_value")
+    spoiled = staged.filter(F.isnan(value) | (F.abs(value) == float("inf"))).select("upload_id").distinct()
     return discovered_versions(uploads, waiting).join(spoiled, "upload_id", "left_anti")
 
 
@@ -165,9 +167,23 @@ def discard_unchanged(metadata: DataFrame, drifts: DataFrame) -> DataFrame:
 # --- publication ----------------------------------------------------------------------------
 
 
-def completion(kind: str, axes: DataFrame) -> DataFrame:
-    """Records that work of a kind has run for these axes, whatever it found."""
-    return axes.select(F.lit(kind).alias("kind"), *AXIS_KEYS)
+COMPLETED_KEYS = ["kind", *AXIS_KEYS]
+
+
+def completion(kind: str, axes: DataFrame, minimum: Column | None = None) -> DataFrame:
+    """Records that work of a kind has run for these axes, whatever it found, and with which minimum."""
+    least = F.lit(None) if minimum is None else minimum
+    return axes.select(F.lit(kind).alias("kind"), *AXIS_KEYS, least.cast("double").alias("minimum"))
+
+
+def without_resolution(metadata: DataFrame, axis: DataFrame, ids: SystemIds) -> DataFrame:
+    """Live indicators, numerators of some axis, whose finest resolution is not known: (internal_id)."""
+    return (
+        active(metadata)
+        .filter(F.col("max_res").isNull() & ~F.col("internal_id").isin(*ids.constants))
+        .join(axis.select(F.col("numerator_uuid").alias("internal_id")), "internal_id", "left_semi")
+        .select("internal_id")
+    )
 
 
 def unfinished_work(
@@ -206,14 +222,9 @@ def unfinished_work(
         per_axis = per_axis.join(done.distinct(), ["kind", "x_num", "x_den"], "left_anti").select(
             "kind", "x_num", "x_den", "y_num", "y_den"
         )
-    per_indicator = (
-        active(metadata)
-        .filter(F.col("max_res").isNull() & ~F.col("internal_id").isin(*ids.constants))
-        .join(axis.select(F.col("numerator_uuid").alias("internal_id")), "internal_id", "left_semi")
-        .select(
-            F.lit("max_resolution").alias("kind"), F.col("internal_id").alias("x_num"),
-            nothing.alias("x_den"), nothing.alias("y_num"), nothing.alias("y_den"),
-        )
+    per_indicator = without_resolution(metadata, axis, ids).select(
+        F.lit("max_resolution").alias("kind"), F.col("internal_id").alias("x_num"),
+        nothing.alias("x_den"), nothing.alias("y_num"), nothing.alias("y_den"),
     )
     pairs = correlation_candidates.select(F.lit("correlations").alias("kind"), *PAIR_KEYS).toDF(
         *schemas.UNFINISHED.names

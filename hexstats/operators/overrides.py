@@ -17,26 +17,40 @@ def with_external_ids(axes: DataFrame, metadata: DataFrame) -> DataFrame:
     )
 
 
-def apply_overrides(axis: DataFrame, overrides: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Replace the fields an override sets, keep the others.
+def _given(axes: DataFrame, overrides: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Per axis the values set for it, as ``_set_<field>``.
 
-    Overrides name logical indicators, so all versions of one receive them.
+    Of several overrides of one axis the largest counts, field by field in their fixed order, with
+    NULL as the smallest.
     """
     logical = ["numerator_id", "denominator_id"]
-    given = (
-        with_external_ids(axis.select(*AXIS_KEYS), metadata)
-        .join(overrides.dropDuplicates(logical), logical)
-        .select(*AXIS_KEYS, *[F.col(f).alias(f"_set_{f}") for f in OVERRIDE_FIELDS])
+    one = overrides.groupBy(*logical).agg(F.max(F.struct(*OVERRIDE_FIELDS)).alias("given"))
+    return (
+        with_external_ids(axes.select(*AXIS_KEYS), metadata)
+        .join(one, logical)
+        .select(*AXIS_KEYS, *[F.col(f"given.{f}").alias(f"_set_{f}") for f in OVERRIDE_FIELDS])
     )
-    joined = axis.join(given, AXIS_KEYS, "left")
+
+
+def _applied(joined: DataFrame, columns: list[str]) -> DataFrame:
     return joined.select(
-        *[
-            F.coalesce(F.col(f"_set_{c}"), F.col(c)).alias(c) if c in OVERRIDE_FIELDS else F.col(c)
-            for c in axis.columns
-        ]
+        *[F.coalesce(F.col(f"_set_{c}"), F.col(c)).alias(c) if c in OVERRIDE_FIELDS else F.col(c) for c in columns]
     )
 
 
+def apply_overrides(axis: DataFrame, overrides: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Replace the fields an override sets, keep the others.
+
+    Overrides name logical indicators, so all versions of one receive them.
+    """
+    return _applied(axis.join(_given(axis, overrides, metadata), AXIS_KEYS, "left"), axis.columns)
+
+
+def overridden_axes(axis: DataFrame, overrides: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Only the axes that have an override, with it applied: keys and the fields that can be set."""
+    return _applied(axis.join(_given(axis, overrides, metadata), AXIS_KEYS), [*AXIS_KEYS, *OVERRIDE_FIELDS])
+
+
 def _known(metadata: DataFrame, name: str) -> DataFrame:
     return metadata.select(F.col("external_id").alias(name)).distinct()
 

@@ -29,12 +29,12 @@ class Base:
     overrides: DataFrame
     cell_boundary: DataFrame
     cell_geometry: DataFrame
-    #: (kind, numerator_uuid, denominator_uuid) of work that has run, also where it found nothing
+    #: (kind, axis) of work that has run, also where it found nothing, and the axis' minimum then
     completed: DataFrame
 
 
 def no_completed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "kind string, numerator_uuid string, denominator_uuid string")
+    return spark.createDataFrame([], schemas.COMPLETED)
 
 
 def ingest(base: Base, staged: DataFrame, uploads: DataFrame) -> Base:
@@ -63,14 +63,32 @@ def axes_to_measure(base: Base, ids: SystemIds) -> tuple[DataFrame, DataFrame]:
     kinds = ("quality", "analytics", "transformations")
     again = open_work.filter(F.col("kind").isin(*kinds)).select(F.col("x_num").alias(AXIS_KEYS[0]), F.col("x_den").alias(AXIS_KEYS[1]))
     changed = base.axis.filter(F.col("transformations").isNull() & F.col("mean_all_res").isNotNull())
+    # what cannot be transformed is looked at again only if its minimum has changed since
+    tried = base.completed.filter(F.col("kind") == "transformations").select(*AXIS_KEYS, F.col("minimum").alias("min"))
+    changed = stage(changed.alias("a").join(
+        tried.alias("t"),
+        F.expr("a.numerator_uuid = t.numerator_uuid and a.denominator_uuid = t.denominator_uuid and a.min <=> t.min"), "left_anti",
+    ))
     stale = transform.repair(transform.histogram(base.facts, changed, ids))
     todo = base.axis.select(*keys).join(again.unionByName(stale).distinct(), AXIS_KEYS, "left_semi")
     return stage(added.unionByName(todo)), added
 
 
-def measure_axes(base: Base, owner: str) -> Base:
-    """Compute quality, analytics, overrides and transformations of new, unfinished and stale axes, as
-    well as resolution and coverage of new indicators; apply the overrides to all axes."""
+@dataclass(frozen=True)
+class Measures:
+    """What measuring the axes of a round changes."""
+
+    #: rows of the axes that were measured
+    axis: DataFrame
+    #: the whole metadata, with resolution, coverage and downscale class
+    metadata: DataFrame
+    #: records of the work that has run
+    completed: DataFrame
+
+
+def measures(base: Base, owner: str) -> Measures:
+    """Quality, analytics, overrides and transformations of new, unfinished and stale axes, and
+    resolution and coverage of their new indicators and of those that still lack a resolution."""
     ids = tables.system_ids(base.metadata, owner)
     todo, added = axes_to_measure(base, ids)
     fresh = base.axis.limit(0).unionByName(todo, allowMissingColumns=True)
@@ -81,22 +99,31 @@ def measure_axes(base: Base, owner: str) -> Base:
 
     points = stage(transform.histogram(base.facts, fresh, ids))
     fresh = transform.apply_transforms(fresh, transform.transform_result(transform.transform_stats(points)))
-    kept = base.axis.join(todo.select(*AXIS_KEYS), AXIS_KEYS, "left_anti").select(*base.axis.columns)
-    kept = overrides.apply_overrides(kept, base.overrides, base.metadata)
-    axis = stage(kept.unionByName(fresh.select(*base.axis.columns)))
-    completed = base.completed
-    for kind in ("quality", "analytics", "transformations"):
-        completed = completed.unionByName(lifecycle.completion(kind, todo))
+    fresh = stage(fresh.select(*base.axis.columns))
+    completed = lifecycle.completion("quality", fresh).unionByName(lifecycle.completion("analytics", fresh))
+    completed = completed.unionByName(lifecycle.completion("transformations", fresh, F.col("min")))
 
-    new = candidates.new_indicators(base.metadata, added)
+    axis = base.axis.join(fresh.select(*AXIS_KEYS), AXIS_KEYS, "left_anti").select(*base.axis.columns).unionByName(fresh)
+    open_ones = lifecycle.without_resolution(base.metadata, axis, ids).toDF("indicator_uuid")
+    new = candidates.new_indicators(base.metadata, added).unionByName(open_ones).distinct()
     new_facts = base.facts.join(new, "indicator_uuid", "left_semi").select(*base.facts.columns)
     resolutions = stage(coverage.max_resolution(new_facts, ids))
     outlines = coverage.coverage_outline(
         coverage.outline_edges(new_facts, resolutions, base.cell_boundary)
     )
     metadata = coverage.apply_coverage(base.metadata, resolutions, outlines)
-    metadata = stage(quality.downscale(metadata, axis, ids))
-    return replace(base, axis=axis, metadata=metadata, completed=stage(completed.distinct()))
+    return Measures(fresh, stage(quality.downscale(metadata, axis, ids)), stage(completed))
+
+
+def measure_axes(base: Base, owner: str) -> Base:
+    """The tables after ``measures``, with the overrides applied to all axes."""
+    found = measures(base, owner)
+    kept = base.axis.join(found.axis.select(*AXIS_KEYS), AXIS_KEYS, "left_anti").select(*base.axis.columns)
+    kept = overrides.apply_overrides(kept, base.overrides, base.metadata)
+    completed = base.completed.join(found.completed, lifecycle.COMPLETED_KEYS, "left_anti").unionByName(found.completed)
+    return replace(
+        base, axis=stage(kept.unionByName(found.axis)), metadata=found.metadata, completed=stage(completed)
+    )
 
 
 def correlate(base: Base, owner: str) -> Base:
@@ -128,10 +155,11 @@ def purge(base: Base, now: datetime, running: DataFrame | None = None) -> Base:
     facts, metadata, axis, correlations, kept = lifecycle.purge(
         base.facts, base.metadata, base.axis, base.correlation, base.overrides
     )
+    completed = lifecycle.purge_axes(base.completed, base.metadata)
     metadata = lifecycle.remove_failed_uploads(metadata, now, running)
     return replace(
         base, facts=facts, metadata=stage(metadata), axis=stage(axis),
-        correlation=stage(correlations), overrides=stage(kept),
+        correlation=stage(correlations), overrides=stage(kept), completed=stage(completed),
     )
 
 

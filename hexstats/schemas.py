@@ -137,7 +137,21 @@ UNFINISHED = T.StructType(
     [T.StructField(name, T.StringType()) for name in ("kind", "x_num", "x_den", "y_num", "y_den")]
 )
 
+#: finished work per axis; ``minimum`` is the axis' minimum when it ran
+COMPLETED = T.StructType(
+    [T.StructField(name, T.StringType()) for name in ("kind", "numerator_uuid", "denominator_uuid")]
+    + [T.StructField("minimum", T.DoubleType())]
+)
+
 POINT = T.StructType([T.StructField("lon", T.DoubleType()), T.StructField("lat", T.DoubleType())])
+MERCATOR_POINT = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
+CELL_GEOMETRY = T.StructType(
+    [
+        T.StructField("h3", T.LongType()),
+        T.StructField("resolution", T.IntegerType()),
+        T.StructField("boundary", T.ArrayType(MERCATOR_POINT)),
+    ]
+)
 CELL_BOUNDARY = T.StructType(
     [
         T.StructField("h3", T.LongType()),

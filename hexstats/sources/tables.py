@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from hexstats import schemas
+from hexstats.sources.stored import counted, delete_folders, exists, folder_of, measured
 
 
 def read_facts(spark: SparkSession, path: str) -> DataFrame:
@@ -19,15 +20,35 @@ def read_facts(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def write_facts(facts: DataFrame, path: str, mode: str = "append", partitions: int | None = None) -> None:
-    """One folder per indicator, files sorted by cell.
+def write_facts(facts: DataFrame, path: str, mode: str = "append", partitions: int | None = None) -> int:
+    """One folder per indicator, files sorted by cell. Returns the number of rows written.
 
     The range split covers (indicator, cell), so an indicator with a large share of all rows
     is written by many tasks, and the sort gives every file a narrow cell range to skip by.
     """
     keys = ["indicator_uuid", "h3"]
     spread = facts.repartitionByRange(partitions, *keys) if partitions else facts.repartitionByRange(*keys)
-    spread.sortWithinPartitions(*keys).write.partitionBy("indicator_uuid").mode(mode).parquet(path)
+    # counted after the shuffle: the rows before it are also read for its sample
+    rows, seen = counted(spread.sortWithinPartitions(*keys), rows=F.count(F.lit(1)))
+    writer = rows.write.partitionBy("indicator_uuid")
+    if mode == "replace":
+        # other indicators stay; repeating an interrupted write replaces what it left
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode(mode)
+    writer.parquet(path)
+    return measured(seen, "rows")
+
+
+def drop_facts(spark: SparkSession, path: str, ids: DataFrame) -> int:
+    """Remove indicators from facts in a folder, by their folders. Returns how many there were."""
+    dropped = 0
+    for rows in _batches(ids.select("internal_id").distinct().toLocalIterator(), 500):
+        folders = [folder_of(path, "indicator_uuid", row["internal_id"]) for row in rows]
+        folders = [f for f in folders if exists(spark, f)]
+        delete_folders(spark, folders)
+        dropped += len(folders)
+    return dropped
 
 
 def read_uploads(spark: SparkSession, path: str) -> DataFrame:
