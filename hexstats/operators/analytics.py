@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 from hexstats import schemas
 from hexstats.functions import grid
 from hexstats.functions.measures import spread
-from hexstats.functions.pairing import attach
 from hexstats.operators import quantiles
 from hexstats.operators.axis_values import (
-    AXIS_KEYS, axis_values, number_axes, without_system_numerators,
+    AXIS_KEYS, Packed, axis_values, number_axes, pack, staged, without_system_numerators,
 )
 from hexstats.operators.overrides import with_external_ids
 from hexstats.schemas import SystemIds
@@ -92,13 +91,15 @@ def _breaks(values: DataFrame) -> DataFrame:
 
 
 def statistics(
-    facts: DataFrame, axes: DataFrame, metadata: DataFrame, overrides: DataFrame, ids: SystemIds
+    facts: DataFrame | Packed, axes: DataFrame, metadata: DataFrame, overrides: DataFrame, ids: SystemIds
 ) -> DataFrame:
     """One row per axis and resolution, plus one per axis over all resolutions (r NULL).
 
     The class breaks look only at cells with population, unless the axis is fully overridden
     (then only the median is wanted, unfiltered), its numerator is the population itself, or no
     population is published. Axes over system numerators are left out.
+
+    The cells are staged as they are in the facts, and multiplied into axes in every pass over them.
     """
     numbered = stage(
         number_axes(without_system_numerators(axes, ids))
@@ -112,20 +113,14 @@ def statistics(
         unfiltered = F.lit(True)
     else:
         unfiltered = unfiltered | (F.col("numerator_uuid") == ids.population)
-    rules = numbered.select("axis_id", *AXIS_KEYS, unfiltered.alias("unfiltered"))
-    values = stage(
-        attach(
-            axis_values(
-                facts, rules, ids, literal_one=True, average_area=False, population=ids.population
-            ),
-            rules.select("axis_id", "unfiltered"),
-            ["axis_id"],
-        ).select(
-            "axis_id",
-            grid.resolution(F.col("h3")).alias("res"),
-            "m",
-            (F.col("unfiltered") | F.col("has_population")).alias("counts_for_stops"),
-        )
+    rules = stage(numbered.select("axis_id", *AXIS_KEYS, unfiltered.alias("unfiltered")))
+    if not isinstance(facts, Packed):
+        facts = staged(pack(facts, rules, ids, population=ids.population, without=(ids.one,)))
+    values = axis_values(facts, rules, ids, literal_one=True, average_area=False, carry=("unfiltered",)).select(
+        "axis_id",
+        grid.resolution(F.col("h3")).alias("res"),
+        "m",
+        (F.col("unfiltered") | F.col("has_population")).alias("counts_for_stops"),
     )
     stops_wanted = ~F.col("overridden")
     return (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from hexstats.functions import grid
 from hexstats.functions.measures import ratio
 from hexstats.functions.pairing import attach
 from hexstats.schemas import SystemIds
+from hexstats.sources.staging import stage
 
 AXIS_KEYS = ["numerator_uuid", "denominator_uuid"]
 _ID_LANES = 64
@@ -51,94 +54,135 @@ def listed(axes: DataFrame, column: str, without: tuple[str, ...] = ()) -> DataF
     return found
 
 
+@dataclass(frozen=True)
+class Packed:
+    """The values that some axes need, cell by cell, before they are multiplied into axes.
+
+    ``cells`` has (h3, numerators, denominators, has_population); the two lists hold (number, value), and
+    ``numbers`` says which indicator (indicator_uuid) has which number. A fact takes part once, whatever the
+    number of axes over it, so a staged copy grows with the facts alone.
+    """
+
+    cells: DataFrame
+    numbers: DataFrame
+
+
+#: numbers of the system indicators one and area_km2
+_ONE_NO, _AREA_NO = -1, -2
+
+
+def number_indicators(axes: DataFrame, ids: SystemIds) -> DataFrame:
+    """(indicator_uuid, number) of all indicators of the axes; in lanes, as for axes."""
+    indicator = F.col("indicator_uuid")
+    every = axes.select(F.explode(F.array(*AXIS_KEYS)).alias("indicator_uuid")).distinct()
+    position = F.row_number().over(W.partitionBy("lane").orderBy("indicator_uuid"))
+    number = (position - 1) * _ID_LANES + F.col("lane")
+    system = F.when(indicator == ids.one, F.lit(_ONE_NO)).when(indicator == ids.area, F.lit(_AREA_NO))
+    return every.withColumn("lane", F.pmod(F.xxhash64(indicator), F.lit(_ID_LANES))).select(
+        "indicator_uuid", F.coalesce(system, number.cast("int")).alias("number")
+    )
+
+
+def pack(
+    facts: DataFrame, axes: DataFrame, ids: SystemIds, *, population: str | None = None, without: tuple[str, ...] = ()
+) -> Packed:
+    """The values of all numerators and denominators of the axes, but those in ``without``, per cell.
+
+    Facts are shuffled once, by cell. Stage the cells to multiply them several times.
+    """
+    numbers = number_indicators(axes, ids)
+
+    def side(column: str, name: str) -> DataFrame:
+        wanted = listed(axes, column, without=without).join(numbers, "indicator_uuid")
+        value = F.struct("number", F.col("indicator_value").alias("value"))
+        return facts.join(wanted, "indicator_uuid").select("h3", value.alias(name))
+
+    rows = side("numerator_uuid", "numerator").unionByName(side("denominator_uuid", "denominator"), allowMissingColumns=True)
+    populated = F.lit(False)
+    if population is not None:
+        present = facts.filter((F.col("indicator_uuid") == population) & F.col("indicator_value").isNotNull())
+        rows = rows.withColumn("populated", F.lit(False)).unionByName(
+            present.select("h3", F.lit(True).alias("populated")), allowMissingColumns=True
+        )
+        populated = F.bool_or("populated")
+    cells = rows.groupBy("h3").agg(
+        F.collect_list("numerator").alias("numerators"), F.collect_list("denominator").alias("denominators"),
+        populated.alias("has_population"),
+    )
+    return Packed(cells, numbers)
+
+
+def staged(packed: Packed) -> Packed:
+    """Written once, multiplied whenever it is read; in the order of cells, so that sums repeat as they are."""
+    return Packed(stage(packed.cells.sortWithinPartitions("h3")), stage(packed.numbers))
+
+
 def axis_values(
-    facts: DataFrame,
+    facts: DataFrame | Packed,
     axes: DataFrame,
     ids: SystemIds,
     *,
     literal_one: bool,
     average_area: bool,
     population: str | None = None,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Values ``m`` of all numbered, staged axes: (axis_id, h3, m, has_population).
+    """Values ``m`` of all numbered, staged axes: (axis_id, h3, m, has_population) and the columns ``carry`` of the axes.
 
     The system indicators are either read from the facts like any other indicator, or taken as a
     constant (1, or the average cell area of the resolution) that needs no matching row. A constant
     over a constant has no cells of its own, hence no values.
 
-    Facts are shuffled once, by cell, whatever the number of denominators: the denominators of
-    a cell travel as one short list (base indicators are few), and the multiplication into axes
-    happens after the join.
+    A cell's values become values of axes row by row: the axes of a numerator are looked up
+    once per fact, and nothing is joined or shuffled once they are multiplied. Instead of facts, values
+    packed before for at least these axes will do.
     """
     constants = [i for i, use in ((ids.one, literal_one), (ids.area, average_area)) if use]
-    stored = listed(axes, "denominator_uuid", without=tuple(constants))
-    denominator = F.struct(
-        F.col("indicator_uuid").alias("denominator_uuid"), F.col("indicator_value").alias("value")
-    )
-    base = facts.join(stored, "indicator_uuid", "left_semi").select(
-        "h3", denominator.alias("denominator"), F.lit(False).alias("populated")
-    )
-    if population is not None:
-        populated = facts.filter(
-            (F.col("indicator_uuid") == population) & F.col("indicator_value").isNotNull()
-        )
-        base = base.unionByName(
-            populated.select("h3", F.lit(True).alias("populated")), allowMissingColumns=True
-        )
-    cell_denominators = base.groupBy("h3").agg(
-        F.collect_list("denominator").alias("stored"), F.bool_or("populated").alias("has_population")
-    )
-    numerators = listed(axes, "numerator_uuid", without=tuple(constants))
-    cells = (
-        facts.join(numerators, "indicator_uuid", "left_semi")
-        .withColumnRenamed("indicator_uuid", "numerator_uuid")
-        .join(cell_denominators, "h3", "left" if constants else "inner")
-    )
-
-    denominators = F.coalesce(F.col("stored"), F.array())
+    if not isinstance(facts, Packed):
+        facts = pack(facts, axes, ids, population=population, without=tuple(constants))
+    cells, numbers = facts.cells, facts.numbers
     fixed = []
     if literal_one:
-        fixed.append(F.struct(F.lit(ids.one).alias("denominator_uuid"), F.lit(1.0).alias("value")))
+        fixed.append(F.struct(F.lit(_ONE_NO).alias("number"), F.lit(1.0).alias("value")))
     if average_area:
         fixed.append(
-            F.struct(
-                F.lit(ids.area).alias("denominator_uuid"),
-                grid.average_area(grid.resolution(F.col("h3"))).alias("value"),
-            )
+            F.struct(F.lit(_AREA_NO).alias("number"), grid.average_area(grid.resolution(F.col("h3"))).alias("value"))
         )
-    if fixed:
-        denominators = F.concat(denominators, F.array(*fixed))
 
-    divided = (
-        cells.withColumn("d", F.explode(denominators))
-        .select(
-            "h3",
-            "numerator_uuid",
-            F.col("d.denominator_uuid").alias("denominator_uuid"),
-            ratio(F.col("indicator_value"), F.col("d.value")).alias("m"),
-            F.coalesce(F.col("has_population"), F.lit(False)).alias("has_population"),
-        )
-        .filter(F.col("m").isNotNull())
-    )
+    def stored(column: str) -> Column:
+        """Without the indicators that are taken as constants."""
+        taken = [n for n, use in ((_ONE_NO, literal_one), (_AREA_NO, average_area)) if use]
+        return F.filter(column, lambda x: ~x["number"].isin(*taken)) if taken else F.col(column)
+
+    denominators = F.concat(stored("denominators"), F.array(*fixed)) if fixed else stored("denominators")
+    rows = cells.select("h3", "has_population", denominators.alias("denominators"), F.explode(stored("numerators")).alias("n"))
     over = axes.filter(F.col("numerator_uuid").isin(*constants)) if constants else None
     if over is not None and not over.isEmpty():
-        divided = divided.unionByName(_constant_over_stored(base, fixed))
-    return attach(divided, axes.select("axis_id", *AXIS_KEYS), AXIS_KEYS).select(
-        "axis_id", "h3", "m", "has_population"
+        # constant numerators over the stored denominators of each cell
+        rows = rows.unionByName(
+            cells.select(
+                "h3", F.lit(False).alias("has_population"), stored("denominators").alias("denominators"),
+                F.explode(F.array(*fixed)).alias("n"),
+            )
+        )
+    rows = rows.filter(F.size("denominators") > 0).select("h3", "has_population", "denominators", "n.number", "n.value")
+    divided = (
+        attach(rows, _axes_by_numerator(axes, numbers, carry), ["number"])
+        .select("h3", "has_population", "value", "axes", F.explode("denominators").alias("d"))
+        .select("h3", "has_population", F.try_element_at("axes", F.col("d.number")).alias("axis"), ratio(F.col("value"), F.col("d.value")).alias("m"))
+        .filter(F.col("m").isNotNull() & F.col("axis").isNotNull())
     )
+    return divided.select("axis.axis_id", "h3", "m", "has_population", *[F.col(f"axis.{c}").alias(c) for c in carry])
 
 
-def _constant_over_stored(base: DataFrame, fixed: list[Column]) -> DataFrame:
-    """Constant numerators over the stored denominators of each cell."""
+def _axes_by_numerator(axes: DataFrame, numbers: DataFrame, carry: tuple[str, ...]) -> DataFrame:
+    """Per numerator its axes by the number of their denominator: (number, axes)."""
+    numerators = numbers.toDF("numerator_uuid", "number")
+    denominators = numbers.toDF("denominator_uuid", "_denominator")
+    entry = F.struct("_denominator", F.struct("axis_id", *carry).alias("axis"))
     return (
-        base.filter(F.col("denominator").isNotNull())
-        .select("h3", "denominator", F.explode(F.array(*fixed)).alias("numerator"))
-        .select(
-            "h3",
-            F.col("numerator.denominator_uuid").alias("numerator_uuid"),
-            "denominator.denominator_uuid",
-            ratio(F.col("numerator.value"), F.col("denominator.value")).alias("m"),
-            F.lit(False).alias("has_population"),
-        )
-        .filter(F.col("m").isNotNull())
+        axes.join(numerators, "numerator_uuid")
+        .join(denominators, "denominator_uuid")
+        .groupBy("number")
+        .agg(F.map_from_entries(F.collect_list(entry)).alias("axes"))
     )

@@ -7,10 +7,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hexstats.functions.measures import within
-from hexstats.functions.pairing import attach
 from hexstats.operators import quantiles
 from hexstats.operators.axis_values import (
-    AXIS_KEYS, axis_values, number_axes, without_system_numerators,
+    AXIS_KEYS, Packed, axis_values, number_axes, pack, staged, without_system_numerators,
 )
 from hexstats.schemas import SystemIds
 from hexstats.sources.staging import stage
@@ -31,7 +30,7 @@ def candidates(axis: DataFrame, ids: SystemIds) -> DataFrame:
     )
 
 
-def histogram(facts: DataFrame, axis: DataFrame, ids: SystemIds) -> DataFrame:
+def histogram(facts: DataFrame | Packed, axis: DataFrame, ids: SystemIds) -> DataFrame:
     """Per axis: 101 discrete percentiles over all resolutions, and mean and deviation of the
     values within three deviations of the stored mean."""
     wanted = candidates(axis, ids)
@@ -46,19 +45,18 @@ def histogram(facts: DataFrame, axis: DataFrame, ids: SystemIds) -> DataFrame:
             AXIS_KEYS,
         )
     )
-    values = stage(
-        axis_values(
-            facts, layer.select("axis_id", *AXIS_KEYS), ids, literal_one=False, average_area=False
-        ).select("axis_id", "m")
+    if not isinstance(facts, Packed):
+        facts = staged(pack(facts, layer, ids))
+    values = axis_values(
+        facts, layer, ids, literal_one=False, average_area=False, carry=("layer_mean", "layer_stddev")
     )
     points = quantiles.order_statistics(
-        values, ["axis_id"], "m", quantiles.discrete_ranks(POINTS)
+        values.select("axis_id", "m"), ["axis_id"], "m", quantiles.discrete_ranks(POINTS)
     ).select(
         "axis_id", quantiles.discrete(F.col("n"), F.col("by_rank"), POINTS).alias("points")
     )
     centre = (
-        attach(values, layer.select("axis_id", "layer_mean", "layer_stddev"), ["axis_id"])
-        .filter(within(F.col("m"), F.col("layer_mean"), F.col("layer_stddev")))
+        values.filter(within(F.col("m"), F.col("layer_mean"), F.col("layer_stddev")))
         .groupBy("axis_id")
         .agg(F.stddev_samp("m").alias("new_stddev"), F.avg("m").alias("new_mean"))
     )

@@ -12,7 +12,7 @@ from hexstats import schemas
 from hexstats.operators import (
     analytics, candidates, correlation, coverage, lifecycle, overrides, quality, system, transform,
 )
-from hexstats.operators.axis_values import AXIS_KEYS
+from hexstats.operators.axis_values import AXIS_KEYS, pack, staged
 from hexstats.schemas import SystemIds
 from hexstats.sources import tables
 from hexstats.sources.staging import stage
@@ -93,11 +93,13 @@ def measures(base: Base, owner: str) -> Measures:
     todo, added = axes_to_measure(base, ids)
     fresh = base.axis.limit(0).unionByName(todo, allowMissingColumns=True)
     fresh = tables.update_columns(fresh, quality.axis_quality(base.facts, todo, ids), AXIS_KEYS, ["quality"])
-    stats = analytics.statistics(base.facts, todo, base.metadata, base.overrides, ids)
+    # one copy of the cells for statistics and histograms
+    cells = staged(pack(base.facts, todo, ids, population=ids.population))
+    stats = analytics.statistics(cells, todo, base.metadata, base.overrides, ids)
     fresh = analytics.apply_analytics(fresh, analytics.analytics(stats))
     fresh = stage(overrides.apply_overrides(fresh, base.overrides, base.metadata))
 
-    points = stage(transform.histogram(base.facts, fresh, ids))
+    points = stage(transform.histogram(cells, fresh, ids))
     fresh = transform.apply_transforms(fresh, transform.transform_result(transform.transform_stats(points)))
     fresh = stage(fresh.select(*base.axis.columns))
     completed = lifecycle.completion("quality", fresh).unionByName(lifecycle.completion("analytics", fresh))
