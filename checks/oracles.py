@@ -466,6 +466,19 @@ ORACLES: dict[str, str] = {
           on x.num = x_numerator_id and x.den = x_denominator_id and y.num = y_numerator_id and y.den = y_denominator_id
         group by all""",
     "axis_correlation": f"{WITH_QUALITY}, {CORRELATION} select {_PAIR}, {rnds('correlation')} from correlations",
+    "correlation_rows": f"""{WITH_QUALITY}, {CORRELATION}, both_ways as (select {_PAIR}, correlation from correlations
+        union all select y_numerator_id, y_denominator_id, x_numerator_id, x_denominator_id, correlation from correlations)
+      select {_PAIR}, {rnds('correlation', 'quality')} from (
+        select b.*, 1 - (1 - x.quality) * (1 - y.quality) as quality from both_ways b
+        join qualities x on x.numerator_uuid = x_numerator_id and x.denominator_uuid = x_denominator_id
+        join qualities y on y.numerator_uuid = y_numerator_id and y.denominator_uuid = y_denominator_id)""",
+    "missing_pairs": f"""{WITH_REGISTRY}, {OPEN_PAIRS}, told as (
+        select {_PAIR} from open_pairs where (x_numerator_id, x_denominator_id) > (y_numerator_id, y_denominator_id)
+        union select y_numerator_id, y_denominator_id, x_numerator_id, x_denominator_id from open_pairs
+          where (x_numerator_id, x_denominator_id) < (y_numerator_id, y_denominator_id))
+      select {_PAIR}, {rnds('qualities')} from (select t.*, x.quality + y.quality as qualities from told t
+        join raxis x on x.numerator_uuid = x_numerator_id and x.denominator_uuid = x_denominator_id
+        join raxis y on y.numerator_uuid = y_numerator_id and y.denominator_uuid = y_denominator_id)""",
     "correlation_score": f"{WITH_REGISTRY}, {MIRRORED} select {_PAIR}, correlation, {rnds('quality')} from scored",
     "correlation_upsert": f"""{WITH_REGISTRY}, {MIRRORED}
         select {_PAIR}, correlation * 2 as correlation, {rnds('quality')} from scored

@@ -12,10 +12,11 @@ from checks import fixture as fx
 from hexstats import schemas
 from hexstats.functions import grid
 from hexstats.operators import (
-    analytics, axis_values, candidates, correlation, coverage, lifecycle, overrides, quality, report, system,
+    analytics, axis_values, candidates, correlation, coverage, lifecycle, overrides, pairs, quality, report, system,
     transform,
 )
 from hexstats.operators.axis_values import AXIS_KEYS, number_axes, without_system_numerators
+from hexstats.operators.correlation import unpack_pair
 from hexstats.sources import tables
 from hexstats.sources.staging import stage
 
@@ -254,6 +255,31 @@ def correlation_special(spark, d):
     return found.select(*_PAIR, rounded("correlation").alias("correlation"))
 
 
+def correlation_rows(spark, d):
+    """The rows a round adds to an empty correlation table, from candidates to quality."""
+    dictionary = stage(pairs.rated_axes(fx.metadata(spark, d), _rated_axis(spark, d)))
+    missing = stage(pairs.missing_pairs(dictionary, spark.createDataFrame([], schemas.CORRELATION)))
+    found = pairs.correlation_rows(fx.facts(spark, d), dictionary, missing, fx.IDS)
+    return found.select(*_PAIR, rounded("correlation").alias("correlation"), rounded("quality").alias("quality"))
+
+
+def missing_pairs(spark, d):
+    """Pairs of the registry without a correlation, told with the larger x numerator first."""
+    dictionary = stage(pairs.rated_axes(_registry(spark, d), _registry_axis(spark, d)))
+    found = pairs.missing_pairs(dictionary, fx.derive(spark, d, fx.REGISTRY_CORRELATION_SQL))
+    x, y = unpack_pair(F.col("pair"))
+    named = found.select(x.alias("x"), y.alias("y"), "x_quality", "y_quality")
+    for s in "xy":
+        names = dictionary.select("axis_id", F.struct(*AXIS_KEYS).alias(f"{s}_axis")).withColumnRenamed("axis_id", s)
+        named = named.join(names, s)
+    larger, smaller = F.greatest("x_axis", "y_axis"), F.least("x_axis", "y_axis")
+    return named.select(
+        larger["numerator_uuid"].alias("x_numerator_id"), larger["denominator_uuid"].alias("x_denominator_id"),
+        smaller["numerator_uuid"].alias("y_numerator_id"), smaller["denominator_uuid"].alias("y_denominator_id"),
+        rounded("x_quality + y_quality").alias("qualities"),
+    )
+
+
 def correlation_score(spark, d):
     """Mirroring and combined quality, on the registry's known correlations."""
     results = fx.derive(spark, d, fx.REGISTRY_CORRELATION_SQL).select(*_PAIR, "correlation")
@@ -499,7 +525,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for q in (
         axis_values_analytics, axis_values_stored, axis_values_correlation, axis_statistics, axis_stops, stat_quality, axis_analytics, downscale, histogram_points, transform_points,
         transform_stats, best_transform, transform_result, transform_repair, axis_candidates, new_indicators,
-        correlation_candidates, correlation_prune, axis_correlation, correlation_special, correlation_score, correlation_upsert,
+        correlation_candidates, correlation_prune, axis_correlation, correlation_special, correlation_rows, missing_pairs, correlation_score, correlation_upsert,
         grid_functions, cell_area, system_metadata, missing_cells, system_fill, max_resolution, coverage_edges, coverage_outline,
         cell_geometry, drift_check, drift_discard, previous_versions, staging_discovery, ingest_dedup,
         ingest_rows, ingest_states, publish_states, latest_ready, unfinished_work, unfinished_recorded, indicators_with_work,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from hexstats import schemas
 from hexstats.operators import (
-    analytics, candidates, correlation, coverage, lifecycle, overrides, quality, system, transform,
+    analytics, candidates, coverage, lifecycle, overrides, pairs, quality, system, transform,
 )
 from hexstats.operators.axis_values import AXIS_KEYS, pack, staged
 from hexstats.schemas import SystemIds
@@ -128,14 +128,21 @@ def measure_axes(base: Base, owner: str) -> Base:
     )
 
 
+def missing_correlations(base: Base, owner: str) -> DataFrame | None:
+    """Rows of the correlations that are missing between well-rated axes, or None if there are none."""
+    dictionary = stage(pairs.rated_axes(base.metadata, base.axis))
+    missing = stage(pairs.missing_pairs(dictionary, base.correlation))
+    if missing.isEmpty():
+        return None
+    return pairs.correlation_rows(base.facts, dictionary, missing, tables.system_ids(base.metadata, owner))
+
+
 def correlate(base: Base, owner: str) -> Base:
     """Compute the correlations that are missing between well-rated axes."""
-    ids = tables.system_ids(base.metadata, owner)
-    pairs = stage(candidates.new_correlations(base.metadata, base.axis, base.correlation))
-    if pairs.isEmpty():
+    rows = missing_correlations(base, owner)
+    if rows is None:
         return base
-    updated = correlation.update_correlations(base.correlation, base.facts, pairs, base.axis, ids)
-    return replace(base, correlation=stage(updated))
+    return replace(base, correlation=stage(tables.upsert(base.correlation, stage(rows), list(schemas.PAIR_KEYS))))
 
 
 def publish(base: Base, owner: str) -> Base:

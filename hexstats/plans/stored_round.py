@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from hexstats import schemas
-from hexstats.operators import candidates, correlation, coverage, lifecycle, overrides, system
+from hexstats.operators import coverage, lifecycle, overrides, system
 from hexstats.operators.axis_values import AXIS_KEYS
 from hexstats.plans import refresh
 from hexstats.sources import tables
@@ -128,12 +128,8 @@ def measure_axes(store: Store, owner: str) -> dict[str, int]:
 
 def correlate(store: Store, owner: str) -> Change:
     """Write the correlations that were missing into the parts they belong to."""
-    base = store.base()
-    ids = tables.system_ids(base.metadata, owner)
-    pairs = stage(candidates.new_correlations(base.metadata, base.axis, base.correlation))
-    if pairs.isEmpty():
-        return Change()
-    return store.correlation.merge(correlation.new_results(base.facts, pairs, base.axis, ids))
+    rows = refresh.missing_correlations(store.base(), owner)
+    return Change() if rows is None else store.correlation.merge(rows)
 
 
 def publish(store: Store, owner: str) -> int:
