@@ -189,15 +189,15 @@ select concat('00000000-0000-4000-c000-', lpad(cast(s_suppkey as string), 12, '0
 from {{supplier}} where s_suppkey % 8 = 3
 """
 
-#: uploads are single order lines, so a customer's cell occurs many times; every other upload
-#: of the suppliers being copied is empty
+#: uploads are single order lines, so a customer's cell occurs many times
 STAGED_SQL = f"""
 with {CELLS_SQL}
 select concat('u', cast(l_suppkey as string)) as upload_id, h3, {supplier_id("l_suppkey")} as indicator_uuid,
        l_extendedprice as indicator_value
 from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey join cells on o_custkey = k and r = 8
-where l_suppkey % 20 <> 11
 """
+#: the same with every other upload of the suppliers being copied empty
+PARTLY_EMPTY_SQL = f"{STAGED_SQL}where l_suppkey % 20 <> 11\n"
 UPLOAD_NAMES_SQL = """
 select concat('tmp_stat_h3_u', cast(s_suppkey as string)) as table_name from {supplier} where s_suppkey % 10 = 1
 union all select concat('tmp_stat_h3_x', cast(s_suppkey as string)) from {supplier} where s_suppkey % 10 = 2

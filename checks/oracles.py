@@ -504,6 +504,9 @@ ORACLES: dict[str, str] = {
     "missing_cells": f"""with {FACTS} select h3, bool_or(indicator_uuid = '{AREA}') as has_area from facts
         where {res('h3')} <= 8 group by h3
         having bool_or(indicator_uuid not in ('{ONE}', '{AREA}')) and not bool_or(indicator_uuid = '{ONE}')""",
+    "missing_cells_of_new": f"""with {FACTS} select h3, bool_or(indicator_uuid = '{AREA}') as has_area from facts
+        where {res('h3')} <= 8 group by h3
+        having bool_or(indicator_uuid = '{fx.POPULATION}') and not bool_or(indicator_uuid = '{ONE}')""",
     "system_fill": f"""with {FACTS}, missing as (
           select h3 from facts where indicator_uuid not in ('{ONE}', '{AREA}') and {res('h3')} <= 8
           except select h3 from facts where indicator_uuid = '{ONE}')
@@ -518,6 +521,13 @@ ORACLES: dict[str, str] = {
     "coverage_outline": f"""with {FACTS}, {LATTICE}, {EDGES} select indicator_uuid, vertices, cells
         from (select indicator_uuid, count(*) as vertices from outline group by 1)
         join (select indicator_uuid, count(*) as cells from covered group by 1) using (indicator_uuid)""",
+    # corners less sides plus cells of an area are its pieces less its holes
+    "coverage_polygons": f"""with {FACTS}, {LATTICE}, {EDGES},
+        corners as (select indicator_uuid, count(distinct (x1, y1)) as n,
+          count(distinct (least((x1, y1), (x2, y2)), greatest((x1, y1), (x2, y2)))) as sides from sides group by 1)
+        select indicator_uuid, n - sides + cells as shells_less_holes, vertices, cells
+        from corners join (select indicator_uuid, count(*) as vertices from outline group by 1) using (indicator_uuid)
+        join (select indicator_uuid, count(*) as cells from covered group by 1) using (indicator_uuid)""",
     "cell_geometry": f"""with {FACTS}, {META}, {LATTICE}
         select h3, r::int as resolution, i::int as i,
           round(radians((kx + x) * 1e-6) * {MERCATOR_RADIUS_M!r}, 3) + 0.0 as x,
@@ -538,9 +548,9 @@ ORACLES: dict[str, str] = {
     "ingest_dedup": f"with {cte(staged=fx.for_duckdb(fx.STAGED_SQL))} {_DEDUP}",
     "ingest_rows": f"""{WITH_REGISTRY}, {_UPLOADS} select h3, indicator_uuid, indicator_value from ({_DEDUP})
         where upload_id in (select upload_id from uploads)""",
-    "ingest_states": f"""{WITH_REGISTRY}, {_UPLOADS} select internal_id,
+    "ingest_states": f"""{WITH_REGISTRY}, {_UPLOADS}, {cte(filled=fx.for_duckdb(fx.PARTLY_EMPTY_SQL))} select internal_id,
           case when upload_id in (select upload_id from uploads) then
-            case when upload_id in (select upload_id from staged) then 'NEW' else 'OUTDATED' end
+            case when upload_id in (select upload_id from filled) then 'NEW' else 'OUTDATED' end
           else state end as state from registry""",
     "publish_states": f"""{WITH_WORK}, {PUBLISH} select param_id, internal_id, external_id, state as old_state,
           final as state from settled where final <> state""",

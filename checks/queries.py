@@ -328,6 +328,12 @@ def missing_cells(spark, d):
     return system.missing_cells(fx.facts(spark, d), fx.IDS)
 
 
+def missing_cells_of_new(spark, d):
+    """Only the cells of one indicator, as after its upload."""
+    new = spark.sql(f"select '{fx.POPULATION}' as indicator_uuid")
+    return system.missing_cells(fx.facts(spark, d), fx.IDS, new)
+
+
 def system_fill(spark, d):
     missing = system.missing_cells(fx.facts(spark, d), fx.IDS)
     rows = system.system_rows(missing, fx.cell_boundary(spark, d), fx.IDS)
@@ -371,6 +377,21 @@ def coverage_outline(spark, d):
     )
 
 
+def coverage_polygons(spark, d):
+    """Shells and holes of the covered areas: their vertices, the cells they enclose, and shells less holes."""
+    outlines = coverage.coverage_outline(_outline_edges(spark, d))
+    found = outlines.select("indicator_uuid", F.explode(coverage.polygons(F.col("rings"))).alias("polygon"))
+    area = F.aggregate("polygon", F.lit(0.0), lambda acc, ring: acc + coverage.signed_area(ring))
+    return (
+        found.groupBy("indicator_uuid")
+        .agg(
+            F.sum(2 - F.size("polygon")).cast("long").alias("shells_less_holes"),
+            F.sum(F.aggregate("polygon", F.lit(0), lambda acc, ring: acc + F.size(ring))).cast("long").alias("vertices"),
+            F.round(F.sum(area) / fx.AREA_OF_LATTICE_CELL).cast("long").alias("cells"),
+        )
+    )
+
+
 def cell_geometry(spark, d):
     """Recent indicators: those of the last 150 days before the fixed clock."""
     existing = fx.cell_boundary(spark, d).filter(grid.resolution_between(F.col("h3"), 0, 2)).select("h3")
@@ -408,10 +429,10 @@ def staging_discovery(spark, d):
     return lifecycle.discover_uploads(fx.derive(spark, d, fx.UPLOAD_NAMES_SQL), _registry(spark, d))
 
 
-def _ingested(spark, d):
+def _ingested(spark, d, rows=fx.STAGED_SQL):
     registry = _registry(spark, d)
     uploads = lifecycle.discover_uploads(fx.derive(spark, d, fx.UPLOAD_NAMES_SQL), registry)
-    staged = fx.derive(spark, d, fx.STAGED_SQL).join(uploads.select("upload_id"), "upload_id", "left_semi")
+    staged = fx.derive(spark, d, rows).join(uploads.select("upload_id"), "upload_id", "left_semi")
     return lifecycle.ingest(staged, uploads, registry)
 
 
@@ -425,7 +446,8 @@ def ingest_rows(spark, d):
 
 
 def ingest_states(spark, d):
-    return _ingested(spark, d)[1].select("internal_id", "state")
+    """Some of the uploads are empty here."""
+    return _ingested(spark, d, fx.PARTLY_EMPTY_SQL)[1].select("internal_id", "state")
 
 
 def publish_states(spark, d):
@@ -526,7 +548,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         axis_values_analytics, axis_values_stored, axis_values_correlation, axis_statistics, axis_stops, stat_quality, axis_analytics, downscale, histogram_points, transform_points,
         transform_stats, best_transform, transform_result, transform_repair, axis_candidates, new_indicators,
         correlation_candidates, correlation_prune, axis_correlation, correlation_special, correlation_rows, missing_pairs, correlation_score, correlation_upsert,
-        grid_functions, cell_area, system_metadata, missing_cells, system_fill, max_resolution, coverage_edges, coverage_outline,
+        grid_functions, cell_area, system_metadata, missing_cells, missing_cells_of_new, system_fill, max_resolution, coverage_edges, coverage_outline, coverage_polygons,
         cell_geometry, drift_check, drift_discard, previous_versions, staging_discovery, ingest_dedup,
         ingest_rows, ingest_states, publish_states, latest_ready, unfinished_work, unfinished_recorded, indicators_with_work,
         important_work, axis_overrides, orphan_overrides, purge_facts, purge_axes, purge_correlations,

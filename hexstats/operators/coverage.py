@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hexstats import schemas
@@ -89,10 +89,54 @@ def coverage_outline(edges: DataFrame) -> DataFrame:
     )
 
 
+def signed_area(ring: Column) -> Column:
+    """Area a ring encloses: positive if it runs counter-clockwise, as shells do."""
+    shifted = F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1))
+    turns = F.zip_with(ring, shifted, lambda a, b: a["lon"] * b["lat"] - b["lon"] * a["lat"])
+    return F.aggregate(turns, F.lit(0.0), lambda acc, v: acc + v) / 2
+
+
+def _within(lon: Column, lat: Column, ring: Column) -> Column:
+    """Whether a point lies in a ring: a line to its east crosses an odd number of sides."""
+    shifted = F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1))
+
+    def crossed(a: Column, b: Column) -> Column:
+        spans = (a["lat"] <= lat) != (b["lat"] <= lat)
+        share = (lat - a["lat"]) / F.nullif(b["lat"] - a["lat"], F.lit(0.0))
+        return F.when(spans & (lon < a["lon"] + share * (b["lon"] - a["lon"])), 1).otherwise(0)
+
+    return F.aggregate(F.zip_with(ring, shifted, crossed), F.lit(0), lambda acc, v: acc + v) % 2 == 1
+
+
+def polygons(rings: Column) -> Column:
+    """Rings as polygons: each a shell, the largest first, followed by its holes.
+
+    A hole belongs to the smallest shell around it, so an island in a hole is a polygon of its own. The
+    middle of one of its sides tells: no outline side belongs to two rings.
+    """
+    measured = F.transform(rings, lambda r: F.struct(signed_area(r).alias("area"), r.alias("ring")))
+    shells = F.filter(measured, lambda r: r["area"] > 0)
+
+    def middle(ring: Column, axis: str) -> Column:
+        return (F.element_at(ring, 1)[axis] + F.element_at(ring, 2)[axis]) / 2
+
+    def around(hole: Column) -> Column:
+        ring = hole["ring"]
+        return F.array_min(F.filter(shells, lambda s: _within(middle(ring, "lon"), middle(ring, "lat"), s["ring"])))
+
+    holes = F.transform(
+        F.filter(measured, lambda r: r["area"] < 0), lambda h: F.struct(h["ring"].alias("ring"), around(h).alias("shell"))
+    )
+    placed = F.transform(F.reverse(F.array_sort(shells)), lambda s: F.concat(
+        F.array(s["ring"]), F.transform(F.filter(holes, lambda h: h["shell"] == s), lambda h: h["ring"])
+    ))
+    return F.when(rings.isNotNull(), placed)
+
+
 def apply_coverage(metadata: DataFrame, resolutions: DataFrame, outlines: DataFrame) -> DataFrame:
     """Write max_res and coverage_polygon; without a coverage resolution the polygon is NULL."""
     found = resolutions.join(outlines, "indicator_uuid", "left").select(
-        F.col("indicator_uuid").alias("internal_id"), "max_res", F.col("rings").alias("coverage_polygon")
+        F.col("indicator_uuid").alias("internal_id"), "max_res", polygons(F.col("rings")).alias("coverage_polygon")
     )
     return update_columns(metadata, found, ["internal_id"], ["max_res", "coverage_polygon"])
 

@@ -46,6 +46,8 @@ FACTS = T.StructType(
     ]
 )
 
+POINT = T.StructType([T.StructField("lon", T.DoubleType()), T.StructField("lat", T.DoubleType())])
+
 METADATA = T.StructType(
     [
         T.StructField("param_id", T.StringType()),
@@ -66,16 +68,8 @@ METADATA = T.StructType(
         T.StructField("date", T.TimestampType()),
         T.StructField("upload_id", T.StringType()),
         T.StructField("downscale", T.StringType()),
-        T.StructField(
-            "coverage_polygon",
-            T.ArrayType(
-                T.ArrayType(
-                    T.StructType(
-                        [T.StructField("lon", T.DoubleType()), T.StructField("lat", T.DoubleType())]
-                    )
-                )
-            ),
-        ),
+        # polygons of rings: a shell and its holes
+        T.StructField("coverage_polygon", T.ArrayType(T.ArrayType(T.ArrayType(POINT)))),
     ]
 )
 
@@ -143,7 +137,6 @@ COMPLETED = T.StructType(
     + [T.StructField("minimum", T.DoubleType())]
 )
 
-POINT = T.StructType([T.StructField("lon", T.DoubleType()), T.StructField("lat", T.DoubleType())])
 MERCATOR_POINT = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
 CELL_GEOMETRY = T.StructType(
     [

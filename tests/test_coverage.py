@@ -1,6 +1,8 @@
 import math
 from datetime import datetime, timedelta
 
+from pyspark.sql import functions as F
+
 from hexstats import schemas
 from hexstats.operators import coverage
 from tests.cells import A, B, IDS, cell, empty, facts, metadata
@@ -77,3 +79,37 @@ def test_cell_geometry_takes_new_coarse_cells_of_recent_indicators(spark):
     existing = spark.createDataFrame([(known,)], "h3 long")
     found = coverage.cell_geometry(data, meta, existing, boundary, now).collect()
     assert [(r.h3, r.resolution) for r in found] == [(fresh, 8)]
+
+
+def _polygons(spark, rings):
+    table = spark.createDataFrame([(rings,)], "rings array<array<struct<lon: double, lat: double>>>")
+    return table.select(coverage.polygons(F.col("rings")).alias("found")).first().found
+
+
+def _square(x, y, size, *, hole=False):
+    x, y, size = map(float, (x, y, size))
+    ring = [(x, y), (x + size, y), (x + size, y + size), (x, y + size)]
+    return ring[::-1] if hole else ring
+
+
+def test_holes_belong_to_the_smallest_shell_around_them(spark):
+    lake, island, pond, far = _square(2, 2, 16, hole=True), _square(5, 5, 10), _square(6, 6, 2, hole=True), _square(50, 0, 4)
+    second = _square(0.5, 0.5, 1, hole=True)
+    found = _polygons(spark, [pond, far, lake, _square(0, 0, 20), island, second])
+    plain = [[[tuple(p) for p in ring] for ring in polygon] for polygon in found]
+    assert plain == [[_square(0, 0, 20), lake, second], [island, pond], [far]] or plain == [[_square(0, 0, 20), second, lake], [island, pond], [far]]
+
+
+def test_polygons_of_nothing(spark):
+    assert _polygons(spark, None) is None and _polygons(spark, []) == []
+
+
+def test_a_covered_area_is_stored_with_its_holes(spark):
+    places = [(1, 0), (0, 1), (-1, 1), (-1, 0), (0, -1), (1, -1), (9, 9)]
+    cells = {cell(5, *divmod(i, 7)): p for i, p in enumerate(places)}
+    boundary = spark.createDataFrame([(h, hexagon(*p), None) for h, p in cells.items()], schemas.CELL_BOUNDARY)
+    data = facts(spark, [(h, A, 1) for h in cells])
+    found = coverage.max_resolution(data, IDS)
+    outlines = coverage.coverage_outline(coverage.outline_edges(data, found, boundary))
+    row = coverage.apply_coverage(metadata(spark, {"internal_id": A}), found, outlines).first()
+    assert [[len(ring) for ring in polygon] for polygon in row.coverage_polygon] == [[18, 6], [6]]
