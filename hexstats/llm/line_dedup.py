@@ -4,9 +4,11 @@ Words with digits are variable fields. A line goes down a tree of fixed depth: f
 of words, then by its first words. In a leaf that holds several templates, the words that most of
 them share at a place form the leaf's own template, the other places are variable; templates close
 enough to it are taken for the same. A template found in at least ``min_docs`` documents recurs: it
-is kept where it comes first (smallest doc_id, then line) and dropped everywhere else. With
-``passage_words``, a line of more words than that also recurs once its exact words, digits included,
-stand in two documents; the pipeline asks for that, the query's SQL knows ``min_docs`` only.
+is kept where it comes first (smallest doc_id, then line) and dropped everywhere else. A line of more
+than ``passage_words`` words also recurs once its exact words, digits included, stand in two documents.
+
+Texts are read twice: once to turn lines into numbers, and once for the lines of the templates that have to be
+compared word by word, one line for each. What is dropped is taken out in a third look.
 
 Edge cases: lines without a word are never templates and stay; a null or empty text has nothing to
 drop; a document that loses all its lines with words goes with them; rows equal in id and text are
@@ -24,7 +26,7 @@ from hexstats.sources.staging import stage
 
 #: documents a template must be found in
 MIN_DOCS = 3
-#: words beyond which the pipeline takes a line of the same exact words for a repeated passage, and documents it must be in
+#: words beyond which a line of the same exact words is a repeated passage, and documents it must be in
 PASSAGE_WORDS, PASSAGE_DOCS = 50, 2
 #: leading words that the tree branches by
 DEPTH = 3
@@ -34,17 +36,19 @@ SPACES = r"[\x20\x09-\x0D]+"
 VARIABLE = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
 
 
+#: what most lines do not have; one look for all of it costs far less than replacing
+ODD = r"[0-9\x09-\x0D]|\x20\x20"
+
+
 def template(line: Column) -> Column:
     """A line's words, those with digits replaced by a mark, with one space between."""
-    # most lines have neither digits nor odd spaces; one look for both costs far less than replacing
     marked = F.regexp_replace(F.regexp_replace(line, VARIABLE, "<*>"), SPACES, " ")
-    return F.trim(F.when(line.rlike(r"[0-9\x09-\x0D]|\x20\x20"), marked).otherwise(line))
+    return F.trim(F.when(line.rlike(ODD), marked).otherwise(line))
 
 
 def exact(line: Column) -> Column:
     """A line's words with one space between."""
-    spaced = F.regexp_replace(line, SPACES, " ")
-    return F.trim(F.when(line.rlike(r"[\x09-\x0D]|\x20\x20"), spaced).otherwise(line))
+    return F.trim(F.regexp_replace(line, SPACES, " "))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -78,8 +82,30 @@ def _generalised(docs: DataFrame, parsed: DataFrame) -> DataFrame:
         .filter((F.col("low") != F.col("high")) & (F.col("n") >= MIN_DOCS))
         .select("leaf")
     )
-    lines = _lines(docs).filter(F.col("words") > DEPTH).join(busy, "leaf", "left_semi")
-    templates = stage(lines.groupBy("leaf", *_key()).agg(F.first("template").alias("template")))
+    # one line for each template, found among the numbers; only their texts are fetched
+    place = F.xxhash64("doc", "version", "line")
+    one = (
+        parsed.filter(F.col("words") > DEPTH)
+        .join(busy, "leaf", "left_semi")
+        .withColumn("place", place)
+        .groupBy("leaf", "k1", "k2")
+        .agg(*[F.min_by(c, "place").alias(c) for c in ("doc", "version", "line")])
+    )
+    wanted = one.groupBy("doc", "version").agg(F.collect_list(F.struct("leaf", "k1", "k2", "line")).alias("wanted"))  # lines of one text
+    texts = docs.select(F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_version"), "text")
+    found = texts.join(wanted, texts["_doc"].eqNullSafe(wanted["doc"]) & (texts["_version"] == wanted["version"]))
+    lines = F.split("text", "\n")
+    fetched = found.select(lines.alias("lines"), "wanted").select(
+        F.explode(
+            F.transform("wanted", lambda w: F.struct(w["leaf"], w["k1"], w["k2"], F.element_at("lines", w["line"] + 1).alias("content")))
+        ).alias("w")
+    ).select("w.*")
+    # repeated rows bring their lines again
+    templates = stage(
+        fetched.groupBy("leaf", "k1", "k2").agg(F.first("content").alias("content")).select(
+            "leaf", "k1", "k2", template(F.col("content")).alias("template")
+        )
+    )
     places = templates.select(
         "leaf", "k1", "k2", F.posexplode(F.split("template", " ")).alias("place", "word")
     )
@@ -98,9 +124,14 @@ def _generalised(docs: DataFrame, parsed: DataFrame) -> DataFrame:
 
 
 def _passage_key(passage_words: int) -> list[Column]:
-    """128 bits that stand for the exact words of a long line; null for other lines."""
-    long, words = F.col("words") > passage_words, exact(F.col("content"))
-    return [F.when(long, F.xxhash64(F.lit(k), words)).alias(f"x{k}") for k in (2, 3)]
+    """128 bits that stand for the exact words of a long line; null for other lines.
+
+    Without digits and odd spaces the exact words are the template, whose key is known.
+    """
+    long, odd, words = F.col("words") > passage_words, F.col("content").rlike(ODD), exact(F.col("content"))
+    own = (F.xxhash64(words), F.xxhash64(F.lit(1), words))
+    known = (F.xxhash64("template"), F.xxhash64(F.lit(1), F.col("template")))
+    return [F.when(long, F.when(odd, x).otherwise(k)).alias(name) for name, x, k in zip(("x2", "x3"), own, known, strict=True)]
 
 
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, passage_words: int | None = None) -> DataFrame:
@@ -171,15 +202,28 @@ def with_kept_text(docs: DataFrame, min_docs: int = MIN_DOCS, passage_words: int
     ).withColumn("emptied", (F.col("n_dropped") > 0) & ~F.col("kept").rlike(r"[^\x20\x09-\x0D]"))
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, passage_words: int | None = None) -> DataFrame:
-    """``docs`` with recurring lines taken out of ``text``, without the documents nothing is left of."""
+def _words(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
+
+
+def dedup_lines(
+    docs: DataFrame, min_docs: int = MIN_DOCS, passage_words: int | None = None, least_share: float = 0.0
+) -> DataFrame:
+    """``docs`` with recurring lines taken out of ``text``, without the documents nothing is left of.
+
+    A document that lost lines and keeps less than ``least_share`` of its words goes as well: nearly all of it
+    stands in other documents, and a scrap of it would no longer be found to be a copy.
+    """
     kept = with_kept_text(docs, min_docs, passage_words).filter(~F.col("emptied"))
+    if least_share:
+        scrap = (F.col("n_dropped") > 0) & (_words(F.col("kept")) < _words(F.col("_row.text")) * least_share)
+        kept = kept.filter(~scrap)
     return kept.select(*[F.col("kept").alias("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns])
 
 
-def report(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def report(docs: DataFrame, min_docs: int = MIN_DOCS, passage_words: int | None = PASSAGE_WORDS) -> DataFrame:
     """Per document: doc_id, n_lines, n_dropped, emptied, kept_sha256 (of the remaining text)."""
-    return with_kept_text(docs, min_docs).select(
+    return with_kept_text(docs, min_docs, passage_words).select(
         F.col("_row.doc_id").alias("doc_id"),
         "n_lines",
         "n_dropped",

@@ -12,11 +12,11 @@ with parts as (
          generate_subscripts(string_split(text, chr(10)), 1) as line
   from documents
 ), marked as (
-  select doc_id, line,
+  select doc_id, line, trim(regexp_replace(content, '{_SPACE}', ' ', 'g')) as exact,
          trim(regexp_replace(regexp_replace(content, '{_VARIABLE}', '<*>', 'g'), '{_SPACE}', ' ', 'g')) as template
   from parts
 ), parsed as materialized (
-  select doc_id, line, template, len(string_split(template, ' ')) as words,
+  select doc_id, line, template, exact, len(string_split(template, ' ')) as words,
          array_to_string(string_split(template, ' ')[1:3], ' ') as lead
   from marked where template <> ''
 ), busy as (
@@ -43,10 +43,16 @@ with parts as (
 ), recurring as (
   select words, lead, own, min((doc_id, line)) as first from named
   group by all having count(distinct doc_id) >= 3
+), passages as (
+  select exact, min((doc_id, line)) as first from parsed where words > 50
+  group by exact having count(distinct doc_id) >= 2
 ), gone as (
   select n.doc_id, n.line from named n
   join recurring r on n.words = r.words and n.lead = r.lead and n.own is not distinct from r.own
   where (n.doc_id, n.line) <> r.first
+  union
+  select p.doc_id, p.line from parsed p join passages s on p.exact = s.exact
+  where p.words > 50 and (p.doc_id, p.line) <> s.first
 ), kept as (
   select p.doc_id, count(*) as n_lines, count(g.line) as n_dropped,
          coalesce(string_agg(p.content, chr(10) order by p.line) filter (g.line is null), '') as kept

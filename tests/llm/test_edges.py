@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import hashlib
+import random
 from collections import Counter
 
 import public_tokenizers
@@ -91,6 +92,26 @@ def test_long_passages_of_two_documents(spark, sf_dir):
     assert kept == {1: f"one\n{long}\n{dated}\n{short}", 2: f"two\n{short}", 3: "three"}  # dated: three documents
 
 
+def test_passages_of_two_documents_in_the_query(spark):
+    long = " ".join(f"{a}{b}" for a in "abcdefgh" for b in "klmnopqr")
+    rows = [(4, f"own\n{long} 7"), (2, f"{long} 7\nmine"), (9, f"x {long} 7")]
+    found = by_id(line_dedup.report(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert {k: (r["n_lines"], r["n_dropped"], r["emptied"]) for k, r in found.items()} == {4: (2, 1, False), 2: (2, 0, False), 9: (1, 0, False)}
+    assert found[4]["kept_sha256"] == hashlib.sha256(b"own").hexdigest()
+
+
+def test_scraps_of_copies_go(spark):
+    rng = random.Random(5)
+    body = ["".join(rng.choices("abcdefghij", k=8)) + " " + " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(9)) for _ in range(8)]
+    own = "some words of its own that stand nowhere else at all here"
+    rows = [(1, "\n".join(body)), (2, "\n".join([*body, "tail"])), (3, "\n".join([*body[:7], own])), (4, "\n".join([body[0], own, own + " too"])), (5, own[::-1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs, min_docs=2, least_share=0.3).collect()}
+    assert set(kept) == {1, 4, 5} and kept[4] == f"{own} too"  # the smaller id has the line first
+    everything = {r["doc_id"] for r in line_dedup.dedup_lines(docs, min_docs=2).collect()}
+    assert everything == {1, 2, 3, 4, 5}
+
+
 def test_mixing(docs):
     rows = mixing.mixed_sizes(docs).collect()
     assert all(r["taken"] <= 3 * r["size"] for r in rows)
