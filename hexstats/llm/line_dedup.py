@@ -134,8 +134,15 @@ def _passage_key(passage_words: int) -> list[Column]:
     return [F.when(long, F.when(odd, x).otherwise(k)).alias(name) for name, x, k in zip(("x2", "x3"), own, known, strict=True)]
 
 
-def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, passage_words: int | None = None) -> DataFrame:
-    """(doc, version, line) of every line that goes."""
+def dropped_lines(
+    docs: DataFrame, min_docs: int = MIN_DOCS, passage_words: int | None = None, copies_share: float | None = None
+) -> DataFrame:
+    """(doc, version, line) of every line that goes.
+
+    With ``copies_share``, a document keeps all its lines if those that would go and come first in one and the
+    same other document have at least that share of the words of either: it is a copy of that, to be
+    judged as a whole.
+    """
     passages = [] if passage_words is None else _passage_key(passage_words)
     parsed = stage(_lines(docs).select("doc", "version", "line", "words", "leaf", *_key(), *passages))
     general = stage(_generalised(docs, parsed))
@@ -143,17 +150,17 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, passage_words: int
     own = F.struct(F.col("k1").alias("a"), F.col("k2").alias("b"))
     by_leaf = F.struct(F.col("near_leaf").alias("a"), F.lit(None).cast("long").alias("b"))
     named = parsed.join(general.withColumnRenamed("leaf", "near_leaf"), ["k1", "k2"], "left").select(
-        "doc", "version", "line", F.when(F.col("near_leaf").isNotNull(), by_leaf).otherwise(own).alias("id")
+        "doc", "version", "line", "words", F.when(F.col("near_leaf").isNotNull(), by_leaf).otherwise(own).alias("id")
     )
     named = named.select(
-        "doc", "version", "line", F.col("id.a").alias("a"), F.coalesce("id.b", F.lit(0)).alias("b"),
+        "doc", "version", "line", "words", F.col("id.a").alias("a"), F.coalesce("id.b", F.lit(0)).alias("b"),
         F.lit(min_docs).alias("enough"),
     )
     if passages:
         # a passage is part of one template, so the first line of the template is first of its passage too
         long = parsed.filter(F.col("x2").isNotNull())
         named = named.unionByName(
-            long.select("doc", "version", "line", F.col("x2").alias("a"), F.col("x3").alias("b"), F.lit(PASSAGE_DOCS).alias("enough"))
+            long.select("doc", "version", "line", "words", F.col("x2").alias("a"), F.col("x3").alias("b"), F.lit(PASSAGE_DOCS).alias("enough"))
         )
     # numbers of fixed width throughout, so that all this is aggregated by hash
     recurring = (
@@ -174,14 +181,32 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, passage_words: int
         & (F.col("version") == F.col("first_version"))
         & (F.col("line") == F.col("first_line"))
     )
-    gone = named.join(recurring, ["a", "b", "enough"]).filter(~is_first).select("doc", "version", "line")
-    return gone.distinct() if passages else gone
+    gone = named.join(recurring, ["a", "b", "enough"]).filter(~is_first)
+    if copies_share is None:
+        gone = gone.select("doc", "version", "line")
+        return gone.distinct() if passages else gone
+    gone = stage(gone.select("doc", "version", "line", "words", "nth", "first_version").distinct())
+    sizes = parsed.groupBy(F.coalesce("doc", F.lit(-(1 << 63))).alias("id"), "version").agg(F.sum("words").alias("words"))
+    own, first = sizes.toDF("id", "version", "own_words"), sizes.toDF("nth", "first_version", "first_words")
+    copies = (
+        gone.groupBy(F.coalesce("doc", F.lit(-(1 << 63))).alias("id"), "version", "nth", "first_version")
+        .agg(F.sum("words").alias("common"))
+        .join(own, ["id", "version"])
+        .join(first, ["nth", "first_version"])
+        .filter(F.col("common") >= F.greatest("own_words", "first_words") * copies_share)
+        .select("id", "version")
+        .distinct()
+    )
+    cut = gone.withColumn("id", F.coalesce("doc", F.lit(-(1 << 63)))).join(copies, ["id", "version"], "left_anti")
+    return cut.select("doc", "version", "line").distinct()
 
 
-def with_kept_text(docs: DataFrame, min_docs: int = MIN_DOCS, passage_words: int | None = None) -> DataFrame:
+def with_kept_text(
+    docs: DataFrame, min_docs: int = MIN_DOCS, passage_words: int | None = None, copies_share: float | None = None
+) -> DataFrame:
     """(_row, kept, n_lines, n_dropped, emptied): each document as a struct, and what is left of it."""
     gone = (
-        dropped_lines(docs, min_docs, passage_words)
+        dropped_lines(docs, min_docs, passage_words, copies_share)
         .groupBy("doc", "version")
         .agg(F.collect_list("line").alias("gone"))  # at most the lines of one text
     )
@@ -202,22 +227,15 @@ def with_kept_text(docs: DataFrame, min_docs: int = MIN_DOCS, passage_words: int
     ).withColumn("emptied", (F.col("n_dropped") > 0) & ~F.col("kept").rlike(r"[^\x20\x09-\x0D]"))
 
 
-def _words(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
-
-
 def dedup_lines(
-    docs: DataFrame, min_docs: int = MIN_DOCS, passage_words: int | None = None, least_share: float = 0.0
+    docs: DataFrame, min_docs: int = MIN_DOCS, passage_words: int | None = None, copies_share: float | None = None
 ) -> DataFrame:
     """``docs`` with recurring lines taken out of ``text``, without the documents nothing is left of.
 
-    A document that lost lines and keeps less than ``least_share`` of its words goes as well: nearly all of it
-    stands in other documents, and a scrap of it would no longer be found to be a copy.
+    ``copies_share`` leaves copies of one document whole, for a later step that drops near copies: of a copy cut
+    to scraps that step could no longer tell what it is.
     """
-    kept = with_kept_text(docs, min_docs, passage_words).filter(~F.col("emptied"))
-    if least_share:
-        scrap = (F.col("n_dropped") > 0) & (_words(F.col("kept")) < _words(F.col("_row.text")) * least_share)
-        kept = kept.filter(~scrap)
+    kept = with_kept_text(docs, min_docs, passage_words, copies_share).filter(~F.col("emptied"))
     return kept.select(*[F.col("kept").alias("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns])
 
 

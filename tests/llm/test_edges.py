@@ -100,16 +100,21 @@ def test_passages_of_two_documents_in_the_query(spark):
     assert found[4]["kept_sha256"] == hashlib.sha256(b"own").hexdigest()
 
 
-def test_scraps_of_copies_go(spark):
+def test_copies_stay_whole_for_the_next_stage(spark):
     rng = random.Random(5)
-    body = ["".join(rng.choices("abcdefghij", k=8)) + " " + " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(9)) for _ in range(8)]
+    body = [" ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(10)) for _ in range(8)]
     own = "some words of its own that stand nowhere else at all here"
-    rows = [(1, "\n".join(body)), (2, "\n".join([*body, "tail"])), (3, "\n".join([*body[:7], own])), (4, "\n".join([body[0], own, own + " too"])), (5, own[::-1])]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    kept = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs, min_docs=2, least_share=0.3).collect()}
-    assert set(kept) == {1, 4, 5} and kept[4] == f"{own} too"  # the smaller id has the line first
-    everything = {r["doc_id"] for r in line_dedup.dedup_lines(docs, min_docs=2).collect()}
-    assert everything == {1, 2, 3, 4, 5}
+    texts = {
+        1: body, 2: [*body, "tail"], 3: [*body[:6], own + " indeed", body[7][::-1]], None: body,
+        4: [body[0], own, own + " too", body[1][::-1]], 5: [body[2], body[3]], 6: [body[2][::-1], body[3][::-1]],
+    }
+    docs = spark.createDataFrame([(k, "\n".join(t)) for k, t in texts.items()], "doc_id long, text string")
+    cut = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs, min_docs=2).collect()}
+    assert cut[2] == "tail" and cut[4] == "\n".join(texts[4][1:]) and 1 not in cut  # null comes first
+    kept = {r["doc_id"]: r["text"].split("\n") for r in line_dedup.dedup_lines(docs, min_docs=2, copies_share=0.5).collect()}
+    # a line of four is no copy, nor is a small part of another document
+    assert kept == {**{k: t for k, t in texts.items() if k != 5}, 4: texts[4][1:]}
+    assert line_dedup.dedup_lines(empty(docs), copies_share=0.5).collect() == []
 
 
 def test_mixing(docs):
@@ -188,6 +193,10 @@ def test_pipeline(spark, sf_dir):
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
         after = [r["doc_id"] for r in docs.select("doc_id").collect()]
         assert set(after) <= before and after, name
+        if name == "MinHash near-dedup":
+            left = near_text.near_copies(spark.read.parquet(f"{sf_dir}/documents.parquet").join(docs.select("doc_id"), "doc_id", "left_semi"))
+            classes = Counter(r["component_id"] for r in left.collect())
+            assert sum(classes.values()) - len(classes) <= 0.05 * len(after)  # near copies, also as scraps
     coded = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
     assert Counter(r["doc_id"] for r in coded.collect()) == Counter(after)
     assert corpus_pipeline.run(spark, sf_dir).count() == len(after)
