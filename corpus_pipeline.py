@@ -14,6 +14,8 @@ from hexstats.llm import byte_cnn, line_dedup, mixing, near_text, pieces
 from hexstats.llm.common import read
 from hexstats.sources.staging import stage
 
+#: share of the words of either that a document must have from one other for it to count as its copy
+COPIES_SHARE = 0.7
 #: SQL cannot express the classifier, nor the coding
 ORACLE_SQL = None
 
@@ -24,8 +26,12 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines whose template recurs, or long passages that two documents have."""
-    return line_dedup.dedup_lines(docs, passage_words=line_dedup.PASSAGE_WORDS)
+    """Documents without lines whose template recurs, or long passages that two documents have.
+
+    Copies of one other document stay whole: the next stage drops them, which it could not if only scraps
+    of them were left.
+    """
+    return line_dedup.dedup_lines(docs, passage_words=line_dedup.PASSAGE_WORDS, copies_share=COPIES_SHARE)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
