@@ -268,7 +268,7 @@ def missing_pairs(spark, d):
     dictionary = stage(pairs.rated_axes(_registry(spark, d), _registry_axis(spark, d)))
     found = pairs.missing_pairs(dictionary, fx.derive(spark, d, fx.REGISTRY_CORRELATION_SQL))
     x, y = unpack_pair(F.col("pair"))
-    named = found.select(x.alias("x"), y.alias("y"), "x_quality", "y_quality")
+    named = found.select(x.alias("x"), y.alias("y"), (F.col("x_quality") + F.col("y_quality")).alias("qualities"))
     for s in "xy":
         names = dictionary.select("axis_id", F.struct(*AXIS_KEYS).alias(f"{s}_axis")).withColumnRenamed("axis_id", s)
         named = named.join(names, s)
@@ -276,7 +276,7 @@ def missing_pairs(spark, d):
     return named.select(
         larger["numerator_uuid"].alias("x_numerator_id"), larger["denominator_uuid"].alias("x_denominator_id"),
         smaller["numerator_uuid"].alias("y_numerator_id"), smaller["denominator_uuid"].alias("y_denominator_id"),
-        rounded("x_quality + y_quality").alias("qualities"),
+        rounded("qualities").alias("qualities"),
     )
 
 
