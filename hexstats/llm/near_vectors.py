@@ -7,11 +7,13 @@ compared within its cell and, as a guest, in the later cells that this bound adm
 meets at most once and every pair that is similar enough meets. The bound has an absolute slack for
 rounding, and centres that nearly equal another are left out, so equal vectors always meet.
 
-Cells are cut into blocks of about ``BLOCK`` vectors, and a task multiplies one block with another. It
-returns link counts and, per vector, the root of its local component, never the pairs; so a cell or a
-group of copies may hold any share of all vectors.
+Cells are cut into blocks of about ``BLOCK`` vectors (fewer if they are wide), and a task multiplies one block
+with another. Products are taken in single precision, whose error has a proven limit; those closer than that to
+the wanted cosine are taken again in double precision. A task returns link counts and, per vector, the root of its
+local component, never the pairs, and holds the links of ``ROWS`` rows at a time; so a cell or a group of copies
+may hold any share of all vectors.
 
-Edge cases: vectors that are null, zero or hold null or non-finite components link with nothing; shorter
+Edge cases: vectors that are null, zero or hold null or non-finite components link with nothing; finite ones of any length link, very small and very large ones too; shorter
 vectors count as filled up with zeros; rows with the same vec_id are one vector, the smallest usable one of them;
 rows without vec_id come back as they are, unlinked; ties at the limit are links; an empty table stays
 empty; other columns are ignored.
@@ -28,13 +30,16 @@ from hexstats.llm.components import components, local_roots
 from hexstats.sources.staging import stage
 
 COSINE = 0.9
-BLOCK = 2048
+#: most vectors of a block, and most bytes
+BLOCK, BLOCK_BYTES = 8192, 4 << 20
 #: vectors per cell aimed at, and most cells
 PER_CELL, MOST_CELLS = 4096, 256
 #: vectors that the centres are fitted on, and rounds of fitting
 SAMPLE, ROUNDS = 8192, 6
 #: rows of a block that are multiplied at a time
 ROWS = 512
+#: values of close products that are taken again at a time
+EXACT = 1 << 20
 #: rows that a task gathers before it sends them on
 SENT = 20_000
 #: distance below which centres are one, and slack of the bound against the rounding of products
@@ -55,9 +60,15 @@ def _dense(column: pa.Array, width: int) -> np.ndarray:
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
+    """Rows of length 1; first divided by their largest component, so that no square over- or underflows."""
+    vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
+def _rows_of_block(width: int) -> int:
+    return max(1, min(BLOCK, BLOCK_BYTES // (8 * max(width, 1))))
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """(vec_id, embedding) of the vectors that can link, one per vec_id."""
     values = F.col("embedding")
@@ -124,9 +135,9 @@ def _assigned(vectors: DataFrame, found: np.ndarray) -> DataFrame:
     return vectors.mapInArrow(assign, ASSIGNED)
 
 
-def _layout(size: np.ndarray, met: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+def _layout(size: np.ndarray, met: np.ndarray, block: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """(first block of each cell, earlier cells that send guests to each cell): bounded by the cells alone."""
-    first = np.append(0, np.cumsum(np.maximum(-(-size // BLOCK), 1)))
+    first = np.append(0, np.cumsum(np.maximum(-(-size // block), 1)))
     return first, [np.flatnonzero(met[:c, c]) for c in range(len(size))]
 
 
@@ -135,7 +146,7 @@ def _senders_of(block: int, cell: int, first: np.ndarray, senders: list[np.ndarr
     return np.concatenate([*(np.arange(first[c], first[c + 1]) for c in senders[cell]), np.arange(first[cell], block)])
 
 
-def _pairs_of_blocks(assigned: DataFrame, cells: int) -> DataFrame:
+def _pairs_of_blocks(assigned: DataFrame, cells: int, width: int) -> DataFrame:
     """Every vector once for each pair of blocks it takes part in."""
     size = np.zeros(cells, np.int64)
     for row in assigned.groupBy("cell").count().collect():  # a row per cell
@@ -144,7 +155,7 @@ def _pairs_of_blocks(assigned: DataFrame, cells: int) -> DataFrame:
     visits = assigned.select("cell", F.explode("visits").alias("other")).groupBy("cell", "other").count()
     for row in visits.collect():  # at most a row per pair of cells
         met[row["cell"], row["other"]] = True
-    first, senders = _layout(size, met)
+    first, senders = _layout(size, met, _rows_of_block(width))
     blocks, total = np.diff(first), int(first[-1])
 
     def spread(batches):
@@ -189,17 +200,36 @@ def _linked(group: pa.Table) -> pa.Table:
     ids, vectors, guests = ids[order], vectors[order], int(guest.sum())
     within = group.column("pair")[0].as_py() < 0
     left, right, shift = vectors[:guests], (vectors if within else vectors[guests:]), (0 if within else guests)
-    found = []
-    for begin in range(0, guests, ROWS):
-        i, j = np.nonzero(left[begin : begin + ROWS] @ right.T >= COSINE)
-        i += begin
+    links = np.zeros(len(ids), np.int64)
+    root = np.arange(len(ids))
+    for i, j in _links(left, right):
         if within:
             i, j = i[j > i], j[j > i]
-        found.append(np.stack([i, j + shift]).astype(np.int32))
-    i, j = np.concatenate(found, axis=1)
-    links = np.bincount(i, minlength=len(ids)) + np.bincount(j, minlength=len(ids))
+        j = j + shift
+        links += np.bincount(i, minlength=len(ids)) + np.bincount(j, minlength=len(ids))
+        # what was joined before stays joined: a vector and its root count as linked
+        joined = np.flatnonzero(root != np.arange(len(ids)))
+        root = local_roots(np.arange(len(ids)), np.append(i, joined), np.append(j, root[joined]))
     some = links > 0
-    return pa.table({"vec_id": ids[some], "links": links[some], "root": local_roots(ids, i, j)[some]})
+    smallest = np.full(len(ids), np.iinfo(np.int64).max)
+    np.minimum.at(smallest, root, ids)
+    return pa.table({"vec_id": ids[some], "links": links[some], "root": smallest[root][some]})
+
+
+def _links(left: np.ndarray, right: np.ndarray):
+    """Positions (i, j) of linked rows, for ``ROWS`` rows of ``left`` at a time."""
+    # rounding to single precision and adding up: at most width + 2 roundings of products that sum to 1 at most
+    slack = 2 * (left.shape[1] + 2) * 2.0**-24
+    narrow, across = left.astype(np.float32), right.astype(np.float32).T
+    for begin in range(0, len(left), ROWS):
+        cosine = narrow[begin : begin + ROWS] @ across
+        i, j = np.nonzero(cosine >= COSINE - slack)
+        close = np.flatnonzero(cosine[i, j] < COSINE + slack)
+        keep = np.ones(len(i), bool)
+        for part in np.array_split(close, -(-len(close) * left.shape[1] // EXACT) or 1):
+            keep[part] = np.einsum("ij,ij->i", left[begin + i[part]], right[j[part]]) >= COSINE
+        if keep.any():
+            yield begin + i[keep], j[keep]
 
 
 def near_copies(vectors: DataFrame) -> DataFrame:
@@ -214,7 +244,7 @@ def near_copies(vectors: DataFrame) -> DataFrame:
         rows = good.filter(share).limit(SAMPLE).select("embedding").toArrow()
         found = centres(_unit(_dense(rows.column(0).combine_chunks(), size["width"])), count) if rows.num_rows else np.eye(1, size["width"])
         assigned = stage(_assigned(good, found))
-        linked = stage(_pairs_of_blocks(assigned, len(found)).groupBy("pair").applyInArrow(_linked, LINKED))
+        linked = stage(_pairs_of_blocks(assigned, len(found), found.shape[1]).groupBy("pair").applyInArrow(_linked, LINKED))
     else:
         linked = vectors.sparkSession.createDataFrame([], LINKED)
     counts = linked.groupBy("vec_id").agg(F.sum("links").alias("n_links"))

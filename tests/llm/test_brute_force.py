@@ -72,13 +72,12 @@ def test_copies_of_a_third(spark, monkeypatch, size):
     assert {(got[k]["n_links"], got[k]["component_id"]) for k in copies} == {(109, min(copies))}
 
 
-def test_layout_is_bounded_by_cells(monkeypatch):
+def test_layout_is_bounded_by_cells():
     # 60 million vectors, all cells meet
-    first, senders = near_vectors._layout(np.full(256, 234_375), np.triu(np.ones((256, 256), bool)))
+    first, senders = near_vectors._layout(np.full(256, 234_375), np.triu(np.ones((256, 256), bool)), 2048)
     assert first[-1] > 29_000 and len(first) + sum(map(len, senders)) < 256 * 256
-    monkeypatch.setattr(near_vectors, "BLOCK", 10)
     met = np.array([[1, 0, 1], [0, 1, 1], [0, 0, 1]], bool)
-    first, senders = near_vectors._layout(np.array([25, 0, 35]), met)
+    first, senders = near_vectors._layout(np.array([25, 0, 35]), met, 10)
     cell_of = [0, 0, 0, 1, 2, 2, 2, 2]
     for v, c in enumerate(cell_of):
         assert near_vectors._senders_of(v, c, first, senders).tolist() == [u for u in range(v) if met[cell_of[u], c]]
@@ -97,6 +96,33 @@ def test_odd_vectors(spark):
     assert near_vectors.near_copies(table.filter("vec_id = 3")).count() == 1
 
 
+def test_vectors_of_extreme_length(spark):
+    rows = [(1, [1e200, 1e200]), (2, [1e-200, 1e-200]), (3, [5e-324, 5e-324]), (4, [1.7e308, -1.7e308]), (5, [1e-300, -1e-300]), (6, [1e308, 1e-308])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    links = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in near_vectors.near_copies(table).collect()}
+    assert links == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (1, 4), 5: (1, 4), 6: (0, 6)}
+
+
+@pytest.mark.parametrize("width", [2, 64, 300])
+def test_products_close_to_the_limit(monkeypatch, width):
+    # single precision alone cannot tell these
+    monkeypatch.setattr(near_vectors, "ROWS", 7)
+    monkeypatch.setattr(near_vectors, "EXACT", 500)
+    rng = np.random.default_rng(width)
+    left = near_vectors._unit(rng.normal(size=(20, width)))
+    side = rng.normal(size=left.shape)
+    side = near_vectors._unit(side - (side * left).sum(axis=1, keepdims=True) * left)
+    right = np.vstack([
+        c * left + np.sqrt(1 - c * c) * side for c in (0.9 + 1e-11, 0.9 - 1e-11, 0.9 + 1e-7, 0.9 - 1e-7, 0.5, 1.0)
+    ])
+    found = {(int(a), int(b)) for i, j in near_vectors._links(left, right) for a, b in zip(i, j, strict=True)}
+    own = {(a, b) for a, b in found if b % 20 == a}
+    assert own == {(k, k + 20 * block) for k in range(20) for block in (0, 2, 5)}
+    exact = left @ right.T
+    sure = np.abs(exact - 0.9) > 1e-12
+    assert {p for p in found if sure[p]} == {(int(a), int(b)) for a, b in np.argwhere((exact >= 0.9) & sure)}
+
+
 def test_unusable_vector_hides_no_usable_one(spark):
     rows = [(1, [1.0, 0.0]), (1, [None, 1.0]), (2, [1.0, 0.0]), (2, [0.0, 0.0]), (3, [None, 0.0])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
