@@ -225,6 +225,88 @@ with texts as (
 )
 select * from ranked where rank <= 20"""
 
+# the smallest id that links lead to, in a table links(a, b) that holds both directions
+_REACHED = """reached as (
+  select a as id, b as other from links
+  union
+  select r.id, l.b from reached r join links l on r.other = l.a
+), lowest as (
+  select id, min(other) as component from reached group by id
+)"""
+
+OP2 = f"""
+with recursive usable as (
+  select vec_id, min(v) as v
+  from (select vec_id, embedding::double[] as v from embeddings where vec_id is not null)
+  where len(list_filter(v, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(v, lambda x: x <> 0)) > 0
+  group by vec_id
+), links as materialized (
+  select x.vec_id as a, y.vec_id as b from usable x join usable y on x.vec_id <> y.vec_id
+  where list_cosine_similarity(x.v, y.v) >= 0.9
+), {_REACHED}, counted as (
+  select a, count(*) as n from links group by a
+), ids as (
+  select distinct vec_id from embeddings where vec_id is not null
+)
+select vec_id, coalesce(n, 0) as n_links, least(vec_id, coalesce(component, vec_id)) as component_id,
+       vec_id <= coalesce(component, vec_id) as kept
+from ids left join counted on a = vec_id left join lowest on id = vec_id
+union all
+select null, 0, null, true from embeddings where vec_id is null"""
+
+OP6 = """
+with raw as (
+  select doc_id, hex(encode(coalesce(text, ''))) as h from documents
+), windows as materialized (
+  select doc_id, p, substr(h, 2 * p + 1, 100) as w
+  from (select doc_id, h, unnest(range(len(h) // 2 - 49)) as p from raw where len(h) >= 100)
+), firsts as (
+  select w, min(doc_id) as lowest from windows group by w
+), hits as (
+  select doc_id, p, p - lag(p) over (partition by doc_id order by p) as gap
+  from windows join firsts using (w) where doc_id > lowest
+), numbered as (
+  select doc_id, p, sum((gap is null or gap > 50)::int) over (partition by doc_id order by p) as span from hits
+), spans as (
+  select doc_id, span, min(p) as low, max(p) + 50 as high from numbered group by doc_id, span
+), parts as (
+  select doc_id, span, low, high, lag(high, 1, 0) over (partition by doc_id order by span) as since from spans
+), cut as (
+  select doc_id, sum(high - low) as n_removed, count(*) as n_spans, max(high) as last_high,
+         string_agg(substr(h, 2 * since + 1, 2 * (low - since)), '' order by span) as before
+  from parts join raw using (doc_id) group by doc_id
+)
+select doc_id, len(h) // 2 as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0) as n_spans,
+       sha256(unhex(coalesce(before, '') || substr(h, 2 * coalesce(last_high, 0) + 1))) as kept_sha256
+from raw left join cut using (doc_id)"""
+
+OP8 = f"""
+with recursive worded as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') as words from documents
+), runs as materialized (
+  select doc_id, run, count(*) as times from (
+    select doc_id, words[k:k + 4] as run
+    from (select doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) as k from worded where len(words) > 0)
+  ) group by doc_id, run
+), sizes as materialized (
+  select doc_id, sum(times)::bigint as n from runs group by doc_id
+), copies as (
+  select list(run order by run) as all_runs, list(times order by run) as all_times, doc_id from runs group by doc_id
+), firsts as (
+  select doc_id, min(doc_id) over (partition by all_runs, all_times) as copy_of from copies
+), shared as (
+  select x.doc_id as a, y.doc_id as b, sum(least(x.times, y.times)) as n
+  from runs x join runs y on x.run = y.run and x.doc_id <> y.doc_id group by a, b
+), links as materialized (
+  select a, b from shared s join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 5 * s.n >= 4 * (x.n + y.n - s.n)
+), {_REACHED}
+select d.doc_id, coalesce(n, 0) as runs, coalesce(copy_of, d.doc_id) as copy_of,
+       least(d.doc_id, coalesce(component, d.doc_id)) as component_id,
+       d.doc_id <= coalesce(component, d.doc_id) as kept
+from documents d left join sizes using (doc_id) left join firsts using (doc_id) left join lowest on id = d.doc_id"""
+
 ORACLES = {
-    "op1_line_dedup": OP1, "op4_url_filter": OP4, "op9_mixing": OP9, "op11_hard_negatives": OP11, "op12_lexical_search": OP12,
+    "op1_line_dedup": OP1, "op2_near_vectors": OP2, "op4_url_filter": OP4, "op6_suffix_dedup": OP6, "op8_near_text": OP8,
+    "op9_mixing": OP9, "op11_hard_negatives": OP11, "op12_lexical_search": OP12,
 }
