@@ -5,10 +5,11 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 
-from hexstats.llm import byte_cnn, license_scan, near_vectors, quality_rules
+from hexstats.llm import byte_cnn, flat, license_scan, near_vectors, quality_rules
 from hexstats.llm.queries import QUERIES
 from tests.llm.fixtures import by_id, texts
 
@@ -238,6 +239,59 @@ def test_signals(spark, sf_dir):
         assert not (r["base_failed"] and r["kept"])
 
 
+def _network(seed):
+    rng = np.random.default_rng(seed)
+    n = byte_cnn.FILTERS
+    filters = rng.normal(0, 0.3, (byte_cnn.WIDTH, 256, n))
+    filters[:, 0] = 0
+    return byte_cnn.Network(filters, rng.normal(0, 0.3, n), rng.normal(0, 0.5, 2 * n + 2))
+
+
+def _plain_odds(network, text):
+    """The network byte by byte."""
+    data, half = text.encode(), byte_cnn.HALF
+    halves = -(-(len(data) + byte_cnn.WIDTH - 1) // half)
+    best = np.zeros((halves, byte_cnn.FILTERS))
+    for p in range(len(data)):
+        response = network.bias + sum(network.filters[k, c] for k, c in enumerate(data[p : p + byte_cnn.WIDTH]))
+        best[p // half] = np.maximum(best[p // half], response)
+    chunks = [np.maximum(best[h], best[min(h + 1, halves - 1)]) for h in range(halves)]
+    features = np.concatenate([np.mean(chunks, axis=0), np.max(chunks, axis=0), [np.log1p(len(data)) / 10]])
+    return features @ network.head[:-1] + network.head[-1]
+
+
+ODD_TEXTS = ["", "a", "seven b", "x" * 121, "y" * 122, "z" * 128 + "tail", "é日本 😀" * 40, "".join(chr(33 + k * k % 90) for k in range(700))]
+
+
+def test_network_equals_plain_loops():
+    network = _network(1)
+    tables = network.tables()
+    for most in (1, 500, 1 << 20):
+        z = [byte_cnn.log_odds(network, tables, d, o) for _, d, o in flat.slices(pa.array(ODD_TEXTS), most)]
+        np.testing.assert_allclose(np.concatenate(z), [_plain_odds(network, t) for t in ODD_TEXTS], atol=2e-5)
+
+
+def test_slopes_equal_differences():
+    network, good, weight = _network(2), np.arange(len(ODD_TEXTS)) % 2 == 0, np.linspace(0.5, 2, len(ODD_TEXTS))
+
+    def loss():
+        z = np.array([_plain_odds(network, t) for t in ODD_TEXTS])
+        return (weight * (np.logaddexp(0, z) - good * z)).sum()
+
+    _, data, offsets = next(flat.slices(pa.array(ODD_TEXTS), 1 << 30))
+    slopes = byte_cnn._gradients(network, byte_cnn.padded(data, offsets), good, weight)
+    rng = np.random.default_rng(3)
+    for part, slope in zip((network.filters, network.bias, network.head), slopes, strict=True):
+        steep = np.argwhere(np.abs(slope) > 1e-2)
+        for at in map(tuple, steep[rng.permutation(len(steep))[:12]]):
+            kept, sides = part[at], []
+            for step in (1e-6, -1e-6):
+                part[at] = kept + step
+                sides.append(loss())
+            part[at] = kept
+            assert abs((sides[0] - sides[1]) / 2e-6 - slope[at]) < 1e-3 * max(1, abs(slope[at])), at
+
+
 def _held_out_rank(scores, good):
     """Probability that a good row scores higher than a bad one."""
     return float(np.mean([[a > b for b in scores[~good]] for a in scores[good]]))

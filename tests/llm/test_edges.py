@@ -200,3 +200,23 @@ def test_pipeline(spark, sf_dir):
     coded = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
     assert Counter(r["doc_id"] for r in coded.collect()) == Counter(after)
     assert corpus_pipeline.run(spark, sf_dir).count() == len(after)
+
+
+@pytest.mark.parametrize("rows", ["all", "none", "unlabelled"])
+def test_pipeline_of_odd_rows(spark, docs, tmp_path, rows):
+    """Nulls in every column, empty and very long texts, repeated rows, clashing columns; empty tables."""
+    folder = str(tmp_path)
+    (empty(docs) if rows == "none" else docs).write.parquet(f"{folder}/documents.parquet")
+    (empty(labels(spark)) if rows != "all" else labels(spark)).write.parquet(f"{folder}/labels.parquet")
+    left = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, work in corpus_pipeline.STAGES[:-1]:
+        given = left
+        left = work(spark, given, folder).cache()
+        assert left.schema.names == docs.schema.names, name
+        assert {r[0] for r in left.select("doc_id").collect()} <= {r[0] for r in given.select("doc_id").collect()}, name
+    found = corpus_pipeline.run(spark, folder)
+    assert found.columns == ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"]
+    assert found.count() == left.count() and (rows != "none" or not found.count())
+    if rows == "unlabelled":  # nothing is learned, so only copies go
+        kept = {r["doc_id"] for r in found.collect()}
+        assert {8, 10, 11, 12} & kept and not {2, 3, 7, 9} & kept
