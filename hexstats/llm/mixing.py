@@ -2,10 +2,10 @@
 
 Words are summed per source, the total is shared out by weight, and each document is repeated at
 its source's rate: the whole part always, the fraction with that probability, drawn from a hash of
-the document's id so that a rerun takes the same documents.
+the document's id, or of its text if it has none, so that a rerun takes the same documents.
 
 Edge cases: a null or empty text has size 0; a null source is a source of its own and comes last;
-sources without words get nothing; an empty table stays empty; equal ids draw alike; columns other
+sources without words get nothing; an empty table stays empty; equal ids draw alike, and so do equal texts without id; columns other
 than doc_id, text and source are passed through whatever their names.
 """
 
@@ -71,35 +71,35 @@ def with_targets(totals: DataFrame) -> DataFrame:
     return totals.withColumn("target", F.least(limit.cast("double"), F.lit(level) * F.col("weight")))
 
 
-def draw(doc_id: Column) -> Column:
-    """Number in [0, 1) that depends only on the id."""
-    text = F.concat(F.lit(SEED + ":"), F.coalesce(doc_id.cast("string"), F.lit("")))
-    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
+def draw(doc_id: Column, text: Column) -> Column:
+    """Number in [0, 1) that depends only on the id, or on the text where that is null."""
+    key = F.concat(F.lit(SEED + ":"), F.coalesce(doc_id.cast("string"), F.md5(text), F.lit("")))
+    return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
 def with_copies(rows: DataFrame, targets: DataFrame) -> DataFrame:
-    """Add source_size, target and copies to ``rows`` (doc_id, source, ...).
+    """Add source_size, target and copies to ``rows`` (source, drawn, ...).
 
     ``targets`` has a row per source; Spark broadcasts it while it is under the session's
     threshold, and splits a hot source otherwise.
     """
     rate = F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
-    copies = F.floor(rate) + (draw(F.col("doc_id")) < rate - F.floor(rate)).cast("long")
+    copies = F.floor(rate) + (F.col("drawn") < rate - F.floor(rate)).cast("long")
     right = targets.select(F.col("source").alias("_source"), "source_size", "target")
     joined = rows.join(right, rows["source"].eqNullSafe(right["_source"])).drop("_source")
-    return joined.withColumn("copies", copies)
+    return joined.withColumn("copies", copies).drop("drawn")
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size) of every document."""
-    return docs.select("doc_id", "source", size(F.col("text")).alias("size"))
+    """(doc_id, source, drawn, size) of every document."""
+    return docs.select("doc_id", "source", draw(F.col("doc_id"), F.col("text")).alias("drawn"), size(F.col("text")).alias("size"))
 
 
 def mix(docs: DataFrame) -> DataFrame:
     """The mixed corpus: columns of ``docs``, each document as often as it is taken."""
     columns = docs.columns
     targets = with_targets(source_totals(sized(docs)))
-    packed = docs.select("doc_id", "source", F.struct(*columns).alias("_row"))
+    packed = docs.select("source", draw(F.col("doc_id"), F.col("text")).alias("drawn"), F.struct(*columns).alias("_row"))
     taken = with_copies(packed, targets).select("_row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
     return taken.select("_row.*")
 

@@ -166,7 +166,7 @@ sized as materialized (
   select source, source_size, coalesce(least((3 * source_size)::double, level * weight), 0) as target from weighted, level
 ), drawn as (
   select s.*, source_size, target, coalesce(target / nullif(source_size, 0), 0) as rate,
-         ('0x' || substr(md5('mix-1:' || coalesce(doc_id::text, '')), 1, 13))::bigint / 4503599627370496.0 as u
+         ('0x' || substr(md5('mix-1:' || coalesce(doc_id::text, md5(text), '')), 1, 13))::bigint / 4503599627370496.0 as u
   from sized s join targets t on s.source is not distinct from t.source
 ), mixed as (
   select *, (floor(rate) + case when u < rate - floor(rate) then 1 else 0 end)::bigint as copies from drawn

@@ -131,6 +131,16 @@ def test_mixing(docs):
     assert Counter(r["doc_id"] for r in mixed.collect()) == again
 
 
+def test_mixing_without_ids(spark):
+    # each document draws for itself, so the source comes near its target
+    rows = [(None, f"words number {k}", "a") for k in range(2000)] + [(None, "other words here", "b")] * 2000
+    found = mixing.mixed_sizes(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    own = [r for r in found if r["size"] == 3 and r["target"] == max(r["target"] for r in found)]
+    assert len(own) == 2000 and own[0]["target"] == 12_000 * 5 / 7
+    assert abs(sum(r["taken"] for r in own) - own[0]["target"]) < 0.03 * own[0]["target"]
+    assert len({r["taken"] for r in found if r["target"] < own[0]["target"]}) == 1  # equal texts draw alike
+
+
 def test_suffixes_of_odd_rows(docs):
     found = by_id(suffix_dedup.removed(docs).filter("doc_id is not null"))
     assert found[1]["n_removed"] == 0 and found[2]["n_removed"] == len(PROSE) and found[3]["n_removed"] == len(PROSE)
