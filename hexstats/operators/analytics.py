@@ -72,13 +72,13 @@ def _breaks(values: DataFrame) -> DataFrame:
     total = per_res.groupBy("axis_id", "slot").agg(
         F.lit(_ALL).alias("res"), F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
     )
-    both = eligible.withColumn("res", F.explode(F.array(F.col("res"), F.lit(_ALL))))
     found = quantiles.order_statistics(
-        both,
+        eligible,
         ["axis_id", "res"],
         "m",
         quantiles.continuous_ranks(PERCENTILES),
         counts=per_res.unionByName(total),
+        total_of=("res", _ALL),
     )
     return found.select(
         "axis_id",

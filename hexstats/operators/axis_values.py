@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -77,8 +77,9 @@ class Packed:
     numbers: DataFrame
 
 
-#: numbers of the system indicators one and area_km2
+#: numbers of the system indicators one and area_km2, as stored and taken as constants
 _ONE_NO, _AREA_NO = -1, -2
+_LITERAL_ONE_NO, _AVERAGE_AREA_NO = -3, -4
 
 
 def number_indicators(axes: DataFrame, ids: SystemIds) -> DataFrame:
@@ -151,33 +152,37 @@ def axis_values(
     if not isinstance(facts, Packed):
         facts = pack(facts, axes, ids, population=population, without=tuple(constants))
     cells, numbers = facts.cells, facts.numbers
-    fixed = []
+    fixed, literal = [], {}
     if literal_one:
-        fixed.append(F.struct(F.lit(_ONE_NO).alias("number"), F.lit(1.0).alias("value")))
+        literal[_ONE_NO] = _LITERAL_ONE_NO
+        fixed.append(F.struct(F.lit(_LITERAL_ONE_NO).alias("number"), F.lit(1.0).alias("value")))
     if average_area:
+        literal[_AREA_NO] = _AVERAGE_AREA_NO
         fixed.append(
-            F.struct(F.lit(_AREA_NO).alias("number"), grid.average_area(grid.resolution(F.col("h3"))).alias("value"))
+            F.struct(
+                F.lit(_AVERAGE_AREA_NO).alias("number"), grid.average_area(grid.resolution(F.col("h3"))).alias("value")
+            )
         )
-
-    def stored(column: str) -> Column:
-        """Without the indicators that are taken as constants."""
-        taken = [n for n, use in ((_ONE_NO, literal_one), (_AREA_NO, average_area)) if use]
-        return F.filter(column, lambda x: ~x["number"].isin(*taken)) if taken else F.col(column)
-
-    denominators = F.concat(stored("denominators"), F.array(*fixed)) if fixed else stored("denominators")
-    rows = cells.select("h3", "has_population", denominators.alias("denominators"), F.explode(stored("numerators")).alias("n"))
+    # the axes of a constant are found by another number than its stored rows have, so these match none
+    for stored, constant in literal.items():
+        numbers = numbers.withColumn("number", F.when(F.col("number") == stored, constant).otherwise(F.col("number")))
+
+    # once per cell, before the numerators multiply it
+    wide = cells.withColumn("denominators", F.concat("denominators", F.array(*fixed))) if fixed else cells
+    wide = wide.filter(F.size("denominators") > 0)
+    rows = wide.select("h3", "has_population", "denominators", F.explode("numerators").alias("n"))
     over = axes.filter(F.col("numerator_uuid").isin(*constants)) if constants else None
     if over is not None and not over.isEmpty():
         # constant numerators over the stored denominators of each cell
         rows = rows.unionByName(
-            cells.select(
-                "h3", F.lit(False).alias("has_population"), stored("denominators").alias("denominators"),
-                F.explode(F.array(*fixed)).alias("n"),
+            cells.filter(F.size("denominators") > 0).select(
+                "h3", F.lit(False).alias("has_population"), "denominators", F.explode(F.array(*fixed)).alias("n")
             )
         )
-    rows = rows.filter(F.size("denominators") > 0).select("h3", "has_population", "denominators", "n.number", "n.value")
+    rows = rows.select("h3", "has_population", "denominators", "n.number", "n.value")
     divided = (
-        attach(rows, _axes_by_numerator(axes, numbers, carry), ["number"])
+        # staged, so that its size is known before the cells are read: else they would be shuffled by numerator
+        attach(rows, stage(_axes_by_numerator(axes, numbers, carry)), ["number"])
         .select("h3", "has_population", "value", "axes", F.explode("denominators").alias("d"))
         .select("h3", "has_population", F.try_element_at("axes", F.col("d.number")).alias("axis"), ratio(F.col("value"), F.col("d.value")).alias("m"))
         .filter(F.col("m").isNotNull() & F.col("axis").isNotNull())

@@ -55,6 +55,18 @@ def _locate(counts: DataFrame, keys: list[str], order: str, wanted: Column) -> D
     )
 
 
+def _attach_both(rows: DataFrame, ranges: DataFrame, keys: list[str], key: str, all_values: int) -> DataFrame:
+    """Rows with the ranges of their own group and of the group over all values of ``key``."""
+    others = [k for k in keys if k != key]
+    by_slot = ranges.groupBy(*others, "slot").agg(F.collect_list(F.struct(key, "lo", "hi", "number")).alias("ranges"))
+    mine = F.filter("ranges", lambda r: (r[key] == F.col(key)) | (r[key] == all_values))
+    return (
+        attach(rows, stage(by_slot), [*others, "slot"])
+        .select(*others, "slot", "v", F.explode(mine).alias("range"))
+        .select(*others, "slot", "v", *[F.col(f"range.{c}").alias(c) for c in (key, "lo", "hi", "number")])
+    )
+
+
 def order_statistics(
     values: DataFrame,
     keys: list[str],
@@ -62,12 +74,16 @@ def order_statistics(
     ranks: Callable[[Column], Column],
     counts: DataFrame | None = None,
     sortable_rows: int = SORTABLE_ROWS,
+    total_of: tuple[str, int] | None = None,
 ) -> DataFrame:
     """Values at 1-based ranks: (keys, n, by_rank map<rank, value>).
 
     ``ranks`` turns the row count of a group into the array of ranks wanted from it. ``values``
     is read once per pass and must hold no NULL; ``counts`` may bring a ready first pass.
 
+    With ``total_of``, a key and the number that stands for all its values, every row also counts for the group
+    of that number, which ``counts`` must hold. Only rows in a range of either group are looked at twice.
+
     Ranges are numbered anew in every pass: a group has at most one per wanted rank, so the numbers
     stay small however often a range is split.
     """
@@ -100,7 +116,11 @@ def order_statistics(
             F.collect_list(F.struct("at", "rank")).alias("wanted")
         )
         ranges = stage(ranges.withColumn("number", F.row_number().over(W.partitionBy(*keys).orderBy("slot")) - 1))
-        rows = attach(rows, ranges.select(*keys, "slot", "lo", "hi", "number"), [*keys, "slot"])
+        if total_of is None:
+            rows = attach(rows, ranges.select(*keys, "slot", "lo", "hi", "number"), [*keys, "slot"])
+        else:
+            rows = _attach_both(rows, ranges, keys, *total_of)
+            total_of = None
         sort_now = largest <= sortable_rows
         if sort_now:
             step = F.col("v")

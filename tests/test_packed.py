@@ -57,6 +57,25 @@ def test_nothing_is_shuffled_after_the_multiplication(spark, rows):
     assert "Exchange" not in above
 
 
+@pytest.fixture
+def small_broadcasts(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "256k")
+    yield
+    spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("one, area", [(True, False), (False, False), (True, True)])
+def test_cells_are_multiplied_where_they_are_read(spark, rows, small_broadcasts, one, area):
+    wanted = stage(number_axes(axes(spark, *[(x, y) for x in NAMES for y in (*NAMES, ONE, AREA) if x != y])))
+    values = axis_values(staged(pack(facts(spark, rows), wanted, IDS)), wanted, IDS, literal_one=one, average_area=area)
+    plan = values._jdf.queryExecution().executedPlan().toString()
+    # neither exchanged by numerator before, nor filtered by functions that are not compiled
+    assert "hashpartitioning" not in plan and "lambda" not in plan
+    assert "BroadcastHashJoin" in plan
+
+
 @pytest.mark.parametrize("slices, group", [(1024, 2_000_000), (4, 30)])
 def test_moments_put_together_cancel_nothing(spark, monkeypatch, slices, group):
     monkeypatch.setattr(correlation, "_SLICE_CELLS", slices)

@@ -69,3 +69,19 @@ def test_slots_never_decrease(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
     slots = [r[0] for r in df.orderBy("i").select(quantiles.log_slot(F.col("v"))).collect()]
     assert slots == sorted(slots)
+
+
+@pytest.mark.parametrize("sortable", [10, 1_000_000])
+def test_rows_count_for_their_group_and_the_total(spark, sortable):
+    rng = np.random.default_rng(5)
+    rows = [(int(g), int(r), float(round(v, 2))) for g, r, v in zip(rng.integers(0, 3, 3000), rng.integers(0, 4, 3000), rng.normal(0, 3, 3000), strict=True)]
+    values = spark.createDataFrame([*rows, (0, None, 50.0)], "g int, r int, v double")
+    both = values.withColumn("r", F.explode(F.array("r", F.lit(-1))))
+    counts = quantiles.histogram(both, ["g", "r"], "v")
+    ranks = quantiles.continuous_ranks((0.33, 0.5, 0.66))
+    twice, once = (
+        quantiles.order_statistics(rows, ["g", "r"], "v", ranks, counts=counts, sortable_rows=sortable, **rule)
+        for rows, rule in ((both, {}), (values, {"total_of": ("r", -1)}))
+    )
+    expected = {(x.g, x.r): (x.n, x.by_rank) for x in twice.collect()}
+    assert {(x.g, x.r): (x.n, x.by_rank) for x in once.collect()} == expected and len(expected) == 16
