@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from hexstats import schemas
 from hexstats.operators import correlation
@@ -76,6 +77,19 @@ def test_cells_are_multiplied_where_they_are_read(spark, rows, small_broadcasts,
     assert "BroadcastHashJoin" in plan
 
 
+def test_correlations_of_shared_cells(spark, rows):
+    data = facts(spark, rows)
+    wanted = stage(number_axes(axes(spark, *[(x, y) for x in (*NAMES[:3], ONE) for y in (NAMES[4], ONE, AREA) if x != y])))
+    x, y = wanted.select("axis_id"), wanted.select(F.col("axis_id").alias("other"))
+    pairs = stage(x.join(y, F.col("axis_id") < F.col("other")).select(correlation.pack_pair(F.col("axis_id"), F.col("other")).alias("pair")))
+    shared = staged(pack(data, wanted, IDS, population=P))
+    own, found = (
+        {r.pair: r.correlation for r in correlation.correlate_packed(cells, wanted, pairs, IDS).collect()} for cells in (data, shared)
+    )
+    assert found.keys() == own.keys() and any(found.values())
+    assert all(found[k] == (r if r is None else pytest.approx(r, rel=1e-9)) for k, r in own.items())
+
+
 @pytest.mark.parametrize("slices, group", [(1024, 2_000_000), (4, 30)])
 def test_moments_put_together_cancel_nothing(spark, monkeypatch, slices, group):
     monkeypatch.setattr(correlation, "_SLICE_CELLS", slices)
