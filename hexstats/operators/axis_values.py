@@ -116,7 +116,8 @@ def pack(
             present.select("h3", F.lit(True).alias("populated")), allowMissingColumns=True
         )
         populated = F.bool_or("populated")
-    cells = rows.groupBy("h3").agg(
+    # exchanged as they are: lists built before would hold single values, as files hold one indicator each
+    cells = rows.repartition("h3").groupBy("h3").agg(
         F.collect_list("numerator").alias("numerators"), F.collect_list("denominator").alias("denominators"),
         populated.alias("has_population"),
     )

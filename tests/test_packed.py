@@ -67,6 +67,13 @@ def small_broadcasts(spark):
     spark.conf.set(key, before)
 
 
+def test_values_are_exchanged_before_they_are_listed(spark, rows):
+    wanted = stage(number_axes(axes(spark, *zip(NAMES, NAMES[1:] + NAMES[:1], strict=True))))
+    plan = pack(facts(spark, rows), wanted, IDS, population=P).cells._jdf.queryExecution().executedPlan().toString()
+    # the plan is printed from its end: both steps of the lists stand above the exchange by cell
+    assert plan.index("hashpartitioning(h3") > plan.rindex("collect_list(")
+
+
 @pytest.mark.parametrize("one, area", [(True, False), (False, False), (True, True)])
 def test_cells_are_multiplied_where_they_are_read(spark, rows, small_broadcasts, one, area):
     wanted = stage(number_axes(axes(spark, *[(x, y) for x in NAMES for y in (*NAMES, ONE, AREA) if x != y])))
