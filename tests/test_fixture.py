@@ -6,7 +6,7 @@ from checks import fixture as fx
 
 
 def test_tasks_that_place_customers_grow_with_them(spark, tmp_path, monkeypatch):
-    customers, each = 3_000, 20
+    customers, each = 600, 20
     spark.range(1, customers + 1).select(
         F.col("id").alias("c_custkey"), (F.col("id") % 25).cast("int").alias("c_nationkey"), F.col("id").cast("double").alias("c_acctbal")
     ).write.parquet(f"{tmp_path}/customer.parquet")
@@ -23,11 +23,11 @@ def test_tasks_that_place_customers_grow_with_them(spark, tmp_path, monkeypatch)
     try:
         spread = fx.spread_customers(spark, str(tmp_path))
         facts = fx.derive(spark, str(tmp_path), fx.FACTS_SQL, customer=spread)
-        found = facts.groupBy("indicator_uuid").agg(F.count("*"), F.sum("indicator_value"))
+        found = facts.groupBy("indicator_uuid").agg(F.count("*"), F.round(F.sum("indicator_value"), 3))
         plan = facts._jdf.queryExecution().executedPlan().toString()
         # both sides of the join that multiplies rows are dealt by customer to that many tasks
         assert sum(f", {customers // each})" in line for line in plan.splitlines() if "hashpartitioning(" in line) >= 2
-        own = fx.derive(spark, str(tmp_path), fx.FACTS_SQL).groupBy("indicator_uuid").agg(F.count("*"), F.sum("indicator_value"))
+        own = fx.derive(spark, str(tmp_path), fx.FACTS_SQL).groupBy("indicator_uuid").agg(F.count("*"), F.round(F.sum("indicator_value"), 3))
         assert sorted(map(tuple, found.collect())) == sorted(map(tuple, own.collect()))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
