@@ -6,6 +6,8 @@ from itertools import product
 import pytest
 from pyspark.sql import functions as F
 
+from checks import fixture as fx
+from checks import queries
 from hexstats import schemas
 from hexstats.functions import pairing
 from hexstats.operators import candidates, correlation, lifecycle, pairs, report
@@ -132,3 +134,42 @@ def test_lacking_axes_are_those_of_the_missing_ones(spark, tables):
         assert set(map(tuple, lacking.collect())) == set(map(tuple, added.groupBy("numerator_uuid").count().collect()))
         new = candidates.new_indicators(meta, lacking)
         assert set(new.collect()) == set(candidates.new_indicators(meta, added).collect())
+
+
+def test_named_pairs_are_not_exchanged_for_their_names(spark, tables, tmp_path):
+    """Ten suppliers, one of them twice, rated well over one and each other: names come once for every row of an axis."""
+    spark.range(10).union(spark.range(3, 4)).selectExpr(
+        "cast(id as int) as s_suppkey", "cast(id as int) as s_nationkey", "9000.0D as s_acctbal"
+    ).write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.range(10).selectExpr("cast(id as int) as l_suppkey", "date'2020-01-01' as l_shipdate").write.parquet(
+        f"{tmp_path}/lineitem.parquet"
+    )
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = queries.missing_pairs(spark, str(tmp_path))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        rows = found.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "Exchange hashpartitioning(y#" not in plan
+    registry, axis = queries._registry(spark, str(tmp_path)), queries._registry_axis(spark, str(tmp_path))
+    dictionary = stage(pairs.rated_axes(registry, axis))
+    known = fx.derive(spark, str(tmp_path), fx.REGISTRY_CORRELATION_SQL)
+    copies = Counter(r.axis_id for r in dictionary.collect())
+    names = {r.axis_id: (r.numerator_uuid, r.denominator_uuid) for r in dictionary.collect()}
+    plain = Counter()
+    for r in pairs.missing_pairs(dictionary, known).collect():
+        x, y = r.pair >> 32, r.pair & 0xFFFFFFFF
+        plain[(*max(names[x], names[y]), *min(names[x], names[y]))] += copies[x] * copies[y]
+    assert plain and max(plain.values()) > 1
+    assert Counter(tuple(r)[:4] for r in rows) == plain
+
+
+@pytest.mark.parametrize("marked", [False, True])
+def test_repeated_sides_are_never_broadcast(spark, marked):
+    a, b = stage(spark.range(20).toDF("x")), stage(spark.range(15).toDF("y"))
+    known = spark.createDataFrame([(1, 2, 0)], "x long, y long, way int")
+    found = pairing.match_numbered(a, b, known, ~pairing.is_known()) if marked else pairing.match_rows(a, b, F.col("x") != F.col("y"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [_row" not in plan and "SortMergeJoin [_row" in plan
