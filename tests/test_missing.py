@@ -173,3 +173,23 @@ def test_repeated_sides_are_never_broadcast(spark, marked):
     found = pairing.match_numbered(a, b, known, ~pairing.is_known()) if marked else pairing.match_rows(a, b, F.col("x") != F.col("y"))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin [_row" not in plan and "SortMergeJoin [_row" in plan
+
+
+def test_right_rows_of_a_tile_come_as_one_list(spark, monkeypatch):
+    monkeypatch.setattr(pairing, "TILE_ROWS", 8)
+    left = stage(spark.createDataFrame([(0, "a"), (3, None), (3, None), (9, "b")], "x long, a string"))
+    right = stage(spark.createDataFrame([(1, "p"), (2, None), (2, None), (10, "q")], "y long, b string"))
+    known = spark.createDataFrame([(3, 2, 0), (9, 10, 0), (9, 10, 0)], "x long, y long, way int")
+    found = pairing.match_numbered(left, right, known, ~pairing.is_known())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Generate inline(" in plan and found.columns == ["x", "a", "y", "b"]
+    wanted = [
+        (*x, *y) for x, y in product(map(tuple, left.collect()), map(tuple, right.collect()))
+        if (x[0], y[0]) not in {(3, 2), (9, 10)}
+    ]
+    assert Counter(map(tuple, found.collect())) == Counter(wanted)
+
+
+def test_texts_are_apart_by_their_hashes_or_themselves(spark):
+    rows = spark.createDataFrame([("a", 1, "a", 1), ("a", 1, "b", 2), ("a", 1, "b", 1)], "x string, x_hash long, y string, y_hash long")
+    assert [r[0] for r in rows.select(pairing.apart("x", "y")).collect()] == [False, True, True]
